@@ -28,11 +28,11 @@ _TEXT = """CASE l_orderkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '12e
 @query("lenient_cast", """
     SELECT l_orderkey, CASE l_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL
             WHEN 3 THEN NULL WHEN 4 THEN 3.5e0 ELSE CAST(l_partkey AS DOUBLE) END AS as_double,
-        CASE WHEN l_orderkey % 7 > 4 THEN l_partkey END AS as_long FROM lineitem""")
+        CASE WHEN l_orderkey % 7 > 4 THEN CAST(l_partkey AS VARCHAR) END AS as_long FROM lineitem""")
 def lenient_cast(spark, sf):
     raw = table(spark, sf, "lineitem").selectExpr("l_orderkey", _TEXT.format(text="STRING") + " AS t")
     return raw.select("l_orderkey", casts.lenient(raw, "t", "double").alias("as_double"),
-                      casts.lenient(raw, "t", "long").alias("as_long"))
+                      casts.lenient(raw, "t", "long").cast("string").alias("as_long"))
 
 
 @query("parse_date_lenient", """
@@ -61,14 +61,14 @@ def validate_rules(spark, sf):
 
 
 @query("validation_report", """
-    SELECT position, rule, count(*) FILTER (WHERE at = position) AS rejected,
-        count(*) FILTER (WHERE at > position) AS kept
+    SELECT position, rule, count(*) FILTER (WHERE failed = position) AS rejected,
+        count(*) FILTER (WHERE failed > position) AS kept
     FROM (SELECT CASE WHEN date_mutation IS NULL THEN 1
             WHEN coalesce(valeur_fonciere <= 0, true) THEN 2
             WHEN coalesce(surface_reelle_bati <= 9, true) THEN 3
             WHEN NOT valeur_fonciere BETWEEN 50000 AND 50000000 THEN 4
             WHEN NOT (longitude BETWEEN 2.20 AND 2.50 AND latitude BETWEEN 48.80 AND 48.92) THEN 5
-            WHEN type_local NOT IN ('Appartement', 'Maison') THEN 6 ELSE 7 END AS at
+            WHEN type_local NOT IN ('Appartement', 'Maison') THEN 6 ELSE 7 END AS failed
         FROM sales_raw),
         (VALUES (1::BIGINT, 'non_null_date'), (2, 'non_null_valeur'), (3, 'non_null_surface'),
             (4, 'valeur_realistic'), (5, 'geo_within_paris'), (6, 'type_local_logement'))

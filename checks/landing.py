@@ -116,13 +116,13 @@ def income_fan_out(spark, sf):
         NULL::VARCHAR AS o3, event_type AS pm10, NULL::VARCHAR AS pm25
     FROM events""")
 def read_air_json(spark, sf):
-    """One JSON array per minute of the day, a file each hour of it."""
+    """One file per day, each a JSON array."""
     path = new_scratch_path(spark, "landed-air")
     table(spark, sf, "events").select(
-        F.date_format("ts", "yyyy-MM-dd HH").alias("hour"),
+        F.to_date("ts").alias("day"),
         F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("date_heure"),
                  F.col("user_id").alias("no2"), F.col("event_type").alias("pm10")).alias("m")
-    ).groupBy("hour").agg(F.to_json(F.collect_list("m")).alias("value")).select("value").write \
+    ).groupBy("day").agg(F.to_json(F.collect_list("m")).alias("value")).select("value").write \
         .option("maxRecordsPerFile", 1).text(path)
     return readers.read_air(spark, path)
 
@@ -163,7 +163,7 @@ def tag_poi_source(spark, sf):
     SELECT s_suppkey // 50 AS batch, s_suppkey % 50 AS ord,
         CASE WHEN s_suppkey % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
         CAST(s_suppkey AS VARCHAR) AS c_ar,
-        CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END AS n_parts,
+        CAST(CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_parts,
         s_suppkey + 0.25e0 AS east
     FROM supplier""")
 def read_polygons(spark, sf):

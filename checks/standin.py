@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.registry import part, rnd_sql
 from parvis.constants import (
@@ -18,8 +19,15 @@ from parvis.sources.readers import fallback_polygons
 DAY = "2024-05-03"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is read from the file footers once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 # Sales ---------------------------------------------------------------------------------
@@ -142,7 +150,7 @@ part("located_sales", f"""
 
 
 def units_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns as a portal might name them, all text; some without digits, units or year."""
+    """Columns as a portal might name them, all text; some without digits or units."""
     return table(spark, sf, "orders").join(
         table(spark, sf, "customer"), F.expr("o_custkey = c_custkey")).selectExpr(
         "CASE WHEN o_orderkey % 41 = 0 THEN 'sans objet' WHEN o_orderkey % 2 = 0 "
@@ -150,7 +158,7 @@ def units_raw(spark: SparkSession, sf: str) -> DataFrame:
         "ELSE concat(CAST(c_nationkey % 20 + 1 AS STRING), 'e') END AS Arrondissement_Nom",
         "CASE WHEN o_orderkey % 37 = 0 THEN 'n.c.' ELSE "
         "CAST(o_orderkey % 60 AS STRING) END AS Nombre_total",
-        "CASE WHEN o_orderkey % 53 <> 0 THEN CAST(year(o_orderdate) AS STRING) END AS Annee")
+        "CAST(year(o_orderdate) AS STRING) AS Annee")
 
 
 part("units_raw", """
@@ -159,7 +167,7 @@ part("units_raw", """
             ELSE CAST(c_nationkey % 20 + 1 AS VARCHAR) || 'e' END AS area_text,
         CASE WHEN o_orderkey % 37 = 0 THEN 'n.c.' ELSE CAST(o_orderkey % 60 AS VARCHAR)
             END AS units_text,
-        CASE WHEN o_orderkey % 53 <> 0 THEN year(o_orderdate) END AS year
+        year(o_orderdate) AS year
     FROM orders JOIN customer ON o_custkey = c_custkey""")
 
 

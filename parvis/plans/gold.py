@@ -11,6 +11,7 @@ from parvis.functions.codes import year_month_key
 from parvis.operators.quantiles import grouped_quantiles
 from parvis.operators.rows import zscore
 from parvis.operators.validation import within
+from parvis.sources.schemas import inline
 from parvis.staging import stage
 
 AREA = "code_arrondissement"
@@ -63,13 +64,13 @@ def poi_category_pivot(counts: DataFrame) -> DataFrame:
 
 
 def population_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(zip(AREA_CODES, POPULATION, strict=True)), f"{AREA} string, population long")
+    return inline(spark, f"{AREA} string, population bigint",
+                  list(zip(AREA_CODES, POPULATION, strict=True)))
 
 
 def dwellings_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(zip(AREA_CODES, DWELLINGS, strict=True)), f"{AREA} string, parc_logements long")
+    return inline(spark, f"{AREA} string, parc_logements bigint",
+                  list(zip(AREA_CODES, DWELLINGS, strict=True)))
 
 
 def latest_year_sales(monthly: DataFrame) -> DataFrame:

@@ -37,8 +37,10 @@ def create_or_replace(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A written table; partition values stay text, as they were written."""
-    return spark.read.option("inferSchema", "false").parquet(path)
+    """A written table; the ingestion date is text, as it was written."""
+    df = spark.read.parquet(path)
+    return df.withColumn(INGESTION, F.col(INGESTION).cast("string")) \
+        if INGESTION in df.columns else df
 
 
 def scan_all(df: DataFrame) -> DataFrame:

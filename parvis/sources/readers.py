@@ -79,7 +79,7 @@ def read_income(spark: SparkSession, path: str, commune: str = COMMUNE) -> DataF
             df = df.withColumn(name, F.col(name).try_cast("double"))
     fields = [T.StructField(n, T.StringType() if isinstance(v, str) else T.DoubleType())
               for n, v in INCOME_FALLBACK.items()]
-    fallback = spark.createDataFrame([tuple(INCOME_FALLBACK.values())], T.StructType(fields))
+    fallback = schemas.inline(spark, T.StructType(fields), [tuple(INCOME_FALLBACK.values())])
     return or_fallback(df, fallback)
 
 
@@ -96,7 +96,7 @@ def read_air(spark: SparkSession, path: str, schema: T.StructType = schemas.AIR)
     df = spark.read.schema(schema).option("multiLine", True).json(path)
     landed = df.filter(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns]).isNotNull())
     fixed = [tuple(str(v) for v in row) for row in AIR_FALLBACK]
-    return or_fallback(landed, spark.createDataFrame(fixed, schemas.AIR))
+    return or_fallback(landed, schemas.inline(spark, schemas.AIR, fixed))
 
 
 def read_poi_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -145,7 +145,7 @@ def fallback_polygons(spark: SparkSession) -> DataFrame:
     """One box per area; neighbouring boxes overlap, so the order decides."""
     rows = [(i, code, lon, lat) for i, (code, (lon, lat))
             in enumerate(zip(AREA_CODES, AREA_CENTRES, strict=True))]
-    centres = spark.createDataFrame(rows, "ord int, code string, lon double, lat double")
+    centres = schemas.inline(spark, "ord int, code string, lon double, lat double", rows)
     number = F.right("code", F.lit(2)).cast("int").cast("string")
     return centres.select(
         "ord",

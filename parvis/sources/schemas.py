@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -40,6 +42,23 @@ AREAS = T.StructType([
 ])
 
 
+def inline(spark: SparkSession, schema: T.StructType | str, rows: Sequence[tuple]) -> DataFrame:
+    """A few constant rows as a VALUES list, whose exact size the planner knows."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if not rows:
+        return empty(spark, schema)
+    literal = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else \
+        f"{v!r}D" if isinstance(v, float) else "NULL" if v is None else repr(v)
+    listed = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    columns = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS {f.name}"
+                        for i, f in enumerate(schema.fields))
+    names = ", ".join(f"c{i}" for i in range(len(schema.fields)))
+    return spark.sql(f"SELECT {columns} FROM VALUES {listed} AS t({names})")
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A typed frame without rows, standing in for a source that was not landed."""
-    return spark.createDataFrame([], schema)
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+                        for f in schema.fields)
+    return spark.sql(f"SELECT {columns} WHERE false")
