@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import query, rnd_sql, rounded
+from checks.registry import query, rounded, rounded_sql
 from checks.standin import (
     KPI_OUT, KPI_ROUNDED, income_raw, kpi, poi, poi_sources, sales_raw, table, timeline, units_raw,
 )
@@ -18,8 +18,8 @@ from parvis.operators import validation as V
 from parvis.plans import gold, serving, silver
 
 TIMELINE_ROUNDED = ("prix_m2_median", "volume_eur", "prix_m2_median_3m", "delta_prix_m2_mom")
-TIMELINE_OUT = "code_arrondissement, year, month, year_month, nb_transactions, " + ", ".join(
-    f"{rnd_sql(c, 6)} AS {c}" for c in TIMELINE_ROUNDED)
+TIMELINE_OUT = "code_arrondissement, year, month, year_month, nb_transactions, " \
+    + rounded_sql(7, *TIMELINE_ROUNDED)
 
 _TEXT = """CASE l_orderkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '12e' WHEN 3 THEN '7d'
     WHEN 4 THEN '3.5' ELSE CAST(l_partkey AS {text}) END"""
@@ -194,7 +194,7 @@ def filter_kpi(spark, sf):
         AND year >= 1997 AND year <= 1999""")
 def filter_timeline(spark, sf):
     kept = serving.filter_timeline(timeline(spark, sf), "75108", 1997, 1999)
-    return rounded(kept, 6, *TIMELINE_ROUNDED)
+    return rounded(kept, 7, *TIMELINE_ROUNDED)
 
 
 @query("filter_poi", """

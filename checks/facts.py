@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import standin as S
-from checks.registry import query, rnd, rnd_sql, rounded
+from checks.registry import query, rnd, rnd_sql, rounded, rounded_sql
 from checks.standin import KPI_OUT, KPI_ROUNDED, first_box, table
 from checks.cleaning import TIMELINE_OUT, TIMELINE_ROUNDED
 from parvis.constants import CATEGORIES
@@ -13,7 +13,7 @@ from parvis.functions import geometry as G
 from parvis.functions import indices as I
 from parvis.operators import rows as R
 from parvis.operators.spatial import spatial_join as join_areas
-from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
+from parvis.operators.windows import dense_rank_desc, id_chunk, lag_delta, median_over
 from parvis.plans import gold, silver
 from parvis.staging import stage
 
@@ -92,9 +92,9 @@ _STATS = ("prix_m2_median", "prix_m2_moyen", "prix_m2_p25", "prix_m2_p75", "volu
 
 
 @query("monthly_area_stats", "SELECT code_arrondissement, year, month, nb_transactions, "
-       + ", ".join(f"{rnd_sql(c, 6)} AS {c}" for c in _STATS) + " FROM monthly")
+       + rounded_sql(7, *_STATS) + " FROM monthly")
 def monthly_area_stats(spark, sf):
-    return rounded(S.monthly(spark, sf), 6, *_STATS)
+    return rounded(S.monthly(spark, sf), 7, *_STATS)
 
 
 @query("approx_monthly_area_stats")
@@ -147,11 +147,11 @@ def _sales(spark, sf):
 
 
 @query("median_over_area", f"""
-    SELECT {_SALE_KEYS}, {rnd_sql('median(prix_m2) OVER (PARTITION BY code_arrondissement)', 6)}
+    SELECT {_SALE_KEYS}, {rnd_sql('median(prix_m2) OVER (PARTITION BY code_arrondissement)', 7)}
         AS prix_m2_median_arr FROM area_sales""")
 def median_over_area(spark, sf):
     out = median_over(_sales(spark, sf), ["code_arrondissement"], "prix_m2", "prix_m2_median_arr")
-    return rounded(out.drop("date_mutation"), 6, "prix_m2_median_arr")
+    return rounded(out.drop("date_mutation"), 7, "prix_m2_median_arr")
 
 
 @query("dense_rank_month", f"""
@@ -167,7 +167,8 @@ def dense_rank_month(spark, sf):
         ORDER BY date_mutation, id_mutation, numero_disposition, prix_m2)
         AS delta_prix_m2_vs_prev FROM area_sales""")
 def delta_prev_sale(spark, sf):
-    sales = _sales(spark, sf).withColumn("id_range", F.expr("id_mutation div 1000000"))
+    sales = _sales(spark, sf)
+    sales = sales.withColumn("id_range", id_chunk(sales, "id_mutation"))
     out = lag_delta(sales, ["code_arrondissement", "year"], "prix_m2",
                     ["date_mutation", "id_mutation", "numero_disposition", "prix_m2"],
                     ["date_mutation", "id_range"], "delta_prix_m2_vs_prev")
@@ -187,18 +188,18 @@ def zscore_global(spark, sf):
 
 
 @query("rolling_avg_3m", f"""
-    SELECT code_arrondissement, year_month, {rnd_sql('prix_m2_median_3m', 6)} AS prix_m2_median_3m
+    SELECT code_arrondissement, year_month, {rnd_sql('prix_m2_median_3m', 7)} AS prix_m2_median_3m
     FROM timeline""")
 def rolling_avg_3m(spark, sf):
-    return rounded(S.timeline(spark, sf), 6, "prix_m2_median_3m").select(
+    return rounded(S.timeline(spark, sf), 7, "prix_m2_median_3m").select(
         "code_arrondissement", "year_month", "prix_m2_median_3m")
 
 
 @query("delta_mom", f"""
-    SELECT code_arrondissement, year_month, {rnd_sql('delta_prix_m2_mom', 6)} AS delta_prix_m2_mom
+    SELECT code_arrondissement, year_month, {rnd_sql('delta_prix_m2_mom', 7)} AS delta_prix_m2_mom
     FROM timeline""")
 def delta_mom(spark, sf):
-    return rounded(S.timeline(spark, sf), 6, "delta_prix_m2_mom").select(
+    return rounded(S.timeline(spark, sf), 7, "delta_prix_m2_mom").select(
         "code_arrondissement", "year_month", "delta_prix_m2_mom")
 
 
@@ -296,7 +297,7 @@ def idx_attractiveness(spark, sf):
 
 @query("silver_transactions", f"""
     SELECT * EXCLUDE (date_mutation), CAST(date_mutation AS VARCHAR) AS date_mutation,
-        {rnd_sql('median(prix_m2) OVER (PARTITION BY code_arrondissement)', 6)}
+        {rnd_sql('median(prix_m2) OVER (PARTITION BY code_arrondissement)', 7)}
             AS prix_m2_median_arr,
         dense_rank() OVER (PARTITION BY year, month ORDER BY prix_m2 DESC)
             AS rank_prix_m2_dans_mois,
@@ -306,7 +307,7 @@ def idx_attractiveness(spark, sf):
     FROM located_sales""")
 def silver_transactions(spark, sf):
     out = silver.silver_transactions(S.sales_raw(spark, sf), S.areas(spark, sf))
-    return rounded(out, 6, "prix_m2_median_arr").withColumn(
+    return rounded(out, 7, "prix_m2_median_arr").withColumn(
         "date_mutation", F.col("date_mutation").cast("string"))
 
 
@@ -350,4 +351,4 @@ def kpi_area(spark, sf):
 
 @query("timeline_area", f"SELECT {TIMELINE_OUT} FROM timeline")
 def timeline_area(spark, sf):
-    return rounded(S.timeline(spark, sf), 6, *TIMELINE_ROUNDED)
+    return rounded(S.timeline(spark, sf), 7, *TIMELINE_ROUNDED)

@@ -54,5 +54,13 @@ def rnd(column: str | Column, digits: int) -> Column:
     return F.floor(c * F.lit(10.0**digits) + F.lit(0.5)) / F.lit(10.0**digits)
 
 
+# Sums of money are whole cents, but large; the given digits would exceed a double.
+MONEY = {"volume_eur": 2}
+
+
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({n: rnd(n, digits) for n in names})
+    return df.withColumns({n: rnd(n, MONEY.get(n, digits)) for n in names})
+
+
+def rounded_sql(digits: int, *names: str) -> str:
+    return ", ".join(f"{rnd_sql(n, MONEY.get(n, digits))} AS {n}" for n in names)

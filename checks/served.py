@@ -18,7 +18,7 @@ from parvis.plans import gold, quality, serving
 @query("order_result", f"SELECT {TIMELINE_OUT} FROM timeline ORDER BY 1, 2, 3")
 def order_result(spark, sf):
     out = serving.order_result(S.timeline(spark, sf), serving.TIMELINE_ORDER)
-    return rounded(out, 6, *TIMELINE_ROUNDED)
+    return rounded(out, 7, *TIMELINE_ROUNDED)
 
 
 @query("sort_kpi", f"SELECT {KPI_OUT} FROM kpi ORDER BY prix_m2 DESC NULLS LAST, 1")
@@ -31,7 +31,7 @@ def sort_kpi(spark, sf):
     LIMIT 50 OFFSET 100""")
 def page_slice(spark, sf):
     rows, _ = serving.timeline_page(S.timeline(spark, sf), page=3)
-    return rounded(rows, 6, *TIMELINE_ROUNDED)
+    return rounded(rows, 7, *TIMELINE_ROUNDED)
 
 
 @query("page_after", """
@@ -159,7 +159,7 @@ def month_overlay(spark, sf):
 @query("area_series", f"""
     SELECT {TIMELINE_OUT} FROM timeline WHERE code_arrondissement = '75105' ORDER BY year_month""")
 def area_series(spark, sf):
-    return rounded(serving.area_series(S.timeline(spark, sf), "75105"), 6, *TIMELINE_ROUNDED)
+    return rounded(serving.area_series(S.timeline(spark, sf), "75105"), 7, *TIMELINE_ROUNDED)
 
 
 @query("compare_areas", " UNION ALL ".join(

@@ -1,8 +1,9 @@
 """Window results on groups of any size.
 
 A Spark window sorts a whole partition key in one task. Where one group may hold a third of
-the table, the group is cut into ordered chunks, the window runs per (group, chunk), and a
-small per-chunk summary carries the state from one chunk to the next.
+the table, the group is cut into ordered chunks and the window runs per (group, chunk). What
+a chunk has to know of the earlier ones is one extra row, added to the chunk before the
+window and removed after it, so the large side is shuffled once and never joined.
 """
 
 from __future__ import annotations
@@ -10,49 +11,61 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parvis.operators.ordering import ordered_bucket, same
 from parvis.operators.quantiles import grouped_quantiles
+from parvis.staging import stage
 
 
-def _matches(keys: Sequence[str]):
+def _matches(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
 
 
-def _prefixed(keys: Sequence[str]):
+def _prefixed(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).alias(f"_k_{k}") for k in keys]
 
 
 def median_over(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """The exact group median on every row: one result row per group, joined back."""
-    medians = grouped_quantiles(df, keys, value, {name: 0.5})
+    """The exact group median on every row.
+
+    The medians, one row per group, are staged: with their size known, few groups are
+    broadcast and the rows stay where they are.
+    """
+    medians = stage(grouped_quantiles(df, keys, value, {name: 0.5}), "group-medians")
     return df.join(medians.select(*_prefixed(keys), name), _matches(keys), "left").drop(
         *[f"_k_{k}" for k in keys])
 
 
+def id_chunk(df: DataFrame, name: str, prefix: int = 8, width: int = 1_000_000) -> Column:
+    """A coarse form of an id that keeps its order: a text prefix, or a range of numbers."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.left(F.col(name), F.lit(prefix))
+    return F.floor(F.col(name) / F.lit(width))
+
+
 def lag_delta(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
               chunk: Sequence[str], name: str) -> DataFrame:
     """``value`` less the previous row's value within ``keys``, in the total order ``order``.
 
     ``chunk`` names columns that never decrease along ``order`` (a leading part of it, or a
-    coarser form): a day, or a day and an id range. The finer, the more evenly spread.
+    coarser form, see :func:`id_chunk`): the finer, the more evenly spread. Each chunk's last
+    value becomes the row before the next chunk's first.
     """
     part = [*keys, *chunk]
-    inside = Window.partitionBy(*part).orderBy(*order)
-    local = df.withColumn("_previous", F.lag(value).over(inside)).withColumn(
-        "_head", F.row_number().over(inside) == 1)
-
     tails = df.groupBy(*part).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
-    carried = tails.withColumn(
-        "_carried", F.lag("_tail").over(Window.partitionBy(*keys).orderBy(*chunk))
-    ).select(*_prefixed(part), "_carried")
-
-    previous = F.when(F.col("_head"), F.col("_carried")).otherwise(F.col("_previous"))
-    return local.join(carried, _matches(part), "left").withColumn(
-        name, F.col(value) - previous
-    ).drop("_previous", "_head", "_carried", *[f"_k_{k}" for k in part])
+    follow = Window.partitionBy(*keys).orderBy(*chunk)
+    before = tails.select(*part, F.lag("_tail").over(follow).alias(value),
+                          F.row_number().over(follow).alias("_nth")).filter("_nth > 1").select(
+        *part, value, F.lit(False).alias("_real"))
+    inside = Window.partitionBy(*part).orderBy("_real", *order)
+    return (
+        df.withColumn("_real", F.lit(True)).unionByName(before, allowMissingColumns=True)
+        .withColumn(name, F.col(value) - F.lag(value).over(inside))
+        .filter("_real").drop("_real")
+    )
 
 
 def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -62,21 +75,21 @@ def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -
     Each ordered bucket ranks its own values and adds the number of values in higher buckets.
     Joining the ranks back, a frequent value is left to the adaptive skew-join split.
     """
-    keys = list(keys)
+    part = [*keys, "_bucket"]
     distinct = df.filter(F.col(value).isNotNull()).select(
         *keys, value, ordered_bucket(F.col(value), 1).alias("_bucket")).distinct()
-    inside = distinct.withColumn("_rank", F.dense_rank().over(
-        Window.partitionBy(*keys, "_bucket").orderBy(F.col(value).desc())).cast("long"))
-
-    sizes = df.filter(F.col(value).isNotNull()).select(
-        *keys, value, ordered_bucket(F.col(value), 1).alias("_bucket")).distinct().groupBy(
-        *keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    higher = sizes.withColumn("_higher", F.coalesce(F.sum("_size").over(
-        Window.partitionBy(*keys).orderBy(F.col("_bucket").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    offsets = higher.select(*_prefixed(keys), F.col("_bucket").alias("_k__bucket"), "_higher")
-
-    ranks = inside.join(offsets, _matches([*keys, "_bucket"])).select(
-        *_prefixed([*keys, value]), (F.col("_rank") + F.col("_higher")).alias(name))
+    above = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    higher = distinct.groupBy(*part).agg(F.count(F.lit(1)).alias("_size")).select(
+        *part, F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_higher"))
+
+    bucket = Window.partitionBy(*part)
+    ranks = (
+        distinct.unionByName(higher, allowMissingColumns=True)
+        .withColumn(name, F.dense_rank().over(bucket.orderBy(F.col(value).desc_nulls_last()))
+                    + F.max("_higher").over(bucket))
+        .filter(F.col(value).isNotNull())
+        .select(*_prefixed([*keys, value]), name)
+    )
     on = _matches(keys) & (F.col(value) == F.col(f"_k_{value}"))
     return df.join(ranks, on, "left").drop(*[f"_k_{k}" for k in [*keys, value]])

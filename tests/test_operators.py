@@ -16,7 +16,7 @@ from parvis.operators import rows as R
 from parvis.operators import validation as V
 from parvis.operators.quantiles import grouped_quantiles
 from parvis.operators.spatial import area_cells, grid_size, spatial_join
-from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
+from parvis.operators.windows import dense_rank_desc, id_chunk, lag_delta, median_over
 
 
 
@@ -94,7 +94,8 @@ def test_median_over(spark):
 
 @pytest.mark.parametrize("chunk", [["day"], ["day", "range"], ["range0"]])
 def test_lag_over_chunks(spark, chunk):
-    df = sales(spark).withColumn("range", F.expr("id div 100")).withColumn("range0", F.lit(0))
+    df = sales(spark).withColumn("range0", F.lit(0))
+    df = df.withColumn("range", id_chunk(df, "id", width=100))
     order = ["day", "id"]
     mine = lag_delta(df, ["area"], "price", order, chunk, "d")
     w = Window.partitionBy("area").orderBy(*order)
@@ -102,6 +103,18 @@ def test_lag_over_chunks(spark, chunk):
     assert rows(mine) == rows(theirs)
 
 
+def test_lag_with_text_ids_and_null_groups(spark):
+    df = spark.range(500).selectExpr(
+        "if(id % 3 = 0, null, id % 2) AS k", "id % 4 AS day",
+        "concat('2024-', id * 7919 % 1000) AS sale", "CAST(id % 13 AS DOUBLE) AS price")
+    df = df.withColumn("ids", id_chunk(df, "sale", prefix=6))
+    order = ["day", "sale", "price"]
+    mine = lag_delta(df, ["k"], "price", order, ["day", "ids"], "d")
+    w = Window.partitionBy("k").orderBy(*order)
+    theirs = df.withColumn("d", F.col("price") - F.lag("price").over(w))
+    assert rows(mine) == rows(theirs)
+
+
 def test_lag_keeps_null_prices_apart_from_group_starts(spark):
     df = spark.createDataFrame([(1, 1, 5.0), (1, 2, None), (2, 3, 9.0), (3, 4, 10.0)],
                                "day int, id int, price double").withColumn("k", F.lit("k"))
