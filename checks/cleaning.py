@@ -19,7 +19,7 @@ from parvis.plans import gold, serving, silver
 
 TIMELINE_ROUNDED = ("prix_m2_median", "volume_eur", "prix_m2_median_3m", "delta_prix_m2_mom")
 TIMELINE_OUT = "code_arrondissement, year, month, year_month, nb_transactions, " \
-    + rounded_sql(7, *TIMELINE_ROUNDED)
+    + rounded_sql(6, *TIMELINE_ROUNDED)
 
 _TEXT = """CASE l_orderkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '12e' WHEN 3 THEN '7d'
     WHEN 4 THEN '3.5' ELSE CAST(l_partkey AS {text}) END"""
@@ -194,7 +194,7 @@ def filter_kpi(spark, sf):
         AND year >= 1997 AND year <= 1999""")
 def filter_timeline(spark, sf):
     kept = serving.filter_timeline(timeline(spark, sf), "75108", 1997, 1999)
-    return rounded(kept, 7, *TIMELINE_ROUNDED)
+    return rounded(kept, 6, *TIMELINE_ROUNDED)
 
 
 @query("filter_poi", """

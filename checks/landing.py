@@ -33,7 +33,13 @@ _SALE_TEXT = """
         AS code_departement"""
 
 
-@query("read_transactions", f"""SELECT * FROM (SELECT {_SALE_TEXT.format(
+_NUMBERS = ["valeur_fonciere", "surface_reelle_bati", "longitude", "latitude"]
+
+
+@query("read_transactions", f"""SELECT * REPLACE (
+        {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _NUMBERS)},
+        CAST(nombre_pieces_principales AS BIGINT) AS nombre_pieces_principales)
+    FROM (SELECT {_SALE_TEXT.format(
     text='VARCHAR', na='NULL', date="strftime(l_shipdate, '%Y-%m-%d')")}
     FROM lineitem) WHERE code_departement = '75'""")
 def read_transactions(spark, sf):

@@ -8,10 +8,12 @@ from pyspark.sql import types as T
 
 
 def to_double(c: Column) -> Column:
-    """Number or null. A trailing d or f, which Java reads as a number suffix, is refused."""
-    text = F.trim(c.cast("string"))
-    suffixed = F.lower(F.right(text, F.lit(1))).isin("d", "f")
-    return F.when(~suffixed, text.try_cast("double"))
+    """Decimal number or null.
+
+    Java also reads suffixes (1d, 1f) and hexadecimal numbers (0x1p3); their letters are made
+    unreadable first.
+    """
+    return F.translate(c.cast("string"), "dDfFxXpP", "????????").try_cast("double")
 
 
 def to_long(c: Column) -> Column:

@@ -149,4 +149,5 @@ def _interpolated(i: int, q: float) -> Column:
     """Linear interpolation between the values at the lower and the upper rank."""
     position = (F.col("_n") - 1) * F.lit(float(q))
     low, high = F.col(f"_l{i}"), F.col(f"_h{i}")
-    return low + (high - low) * (position - F.floor(position))
+    fraction = position - F.floor(position)
+    return low * (F.lit(1.0) - fraction) + high * fraction

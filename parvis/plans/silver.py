@@ -28,10 +28,7 @@ from parvis.staging import stage
 
 log = logging.getLogger(__name__)
 
-TRANSACTION_TYPES = {
-    "date_mutation": "date", "valeur_fonciere": "double", "surface_reelle_bati": "double",
-    "longitude": "double", "latitude": "double", "nombre_pieces_principales": "long",
-}
+TRANSACTION_TYPES = {"date_mutation": "date", **schemas.TRANSACTION_NUMBERS}
 # A total order: rows that tie on all of it have the same price.
 SALE_ORDER = ("date_mutation", "id_mutation", "numero_disposition", "prix_m2")
 
@@ -154,12 +151,16 @@ def silver_air(raw: DataFrame) -> DataFrame:
 
 
 def poi_points(raw: DataFrame) -> DataFrame:
-    """Raw points of one source with lon and lat in the city box."""
+    """Raw points of one source with lon and lat in the city box.
+
+    The box is tested while the pair is made. A filter on the two columns would be pushed
+    below their computation and read every text several times over.
+    """
     lon, lat = extract_lon_lat(raw.schema)
-    located = raw.select("*", lon.alias("_lon"), lat.alias("_lat"))
-    kept = located.filter(
-        F.col("_lon").isNotNull() & F.col("_lat").isNotNull()
-        & V.in_box("_lon", "_lat", LON_RANGE, LAT_RANGE))
+    pair = F.filter(
+        F.array(F.struct(lon.alias("_lon"), lat.alias("_lat"))),
+        lambda p: p["_lon"].between(*LON_RANGE) & p["_lat"].between(*LAT_RANGE))
+    kept = raw.select("*", F.inline(pair))
     name = R.name_column(raw.columns)
     tagged = R.with_default(R.with_default(kept, "category", "unknown"), "subcategory", "unknown")
     return tagged.select(

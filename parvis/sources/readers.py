@@ -13,7 +13,7 @@ from parvis.constants import (
     INCOME_FALLBACK, INCOME_NULLS, NATIONAL_POI, NATIONAL_POI_FILTER, POI_NULLS,
     TRANSACTION_NULLS,
 )
-from parvis.functions.casts import null_out
+from parvis.functions.casts import lenient, null_out
 from parvis.functions.geometry import PARTS_TYPE, box_parts
 from parvis.operators.rows import column_named, fan_out
 from parvis.sources import schemas
@@ -30,13 +30,15 @@ def _csv(spark: SparkSession, path: str, tokens: Sequence[str], sep: str,
 def read_transactions(spark: SparkSession, path: str, department: str = DEPARTMENT,
                       schema: T.StructType = schemas.TRANSACTIONS,
                       partitions: int | None = None) -> DataFrame:
-    """Sales of one department from (gzipped) CSV files, all columns as text.
+    """Sales of one department from (gzipped) CSV files; unreadable numbers are null.
 
     A gzip file is read by one task, so land one file per year or smaller; ``partitions``
     spreads the rows of few large files before further work.
     """
     df = _csv(spark, path, TRANSACTION_NULLS, ",", schema).filter(
         F.col("code_departement") == department)
+    df = df.withColumns({c: lenient(df, c, t) for c, t in schemas.TRANSACTION_NUMBERS.items()
+                         if c in df.columns})
     return df.repartition(partitions) if partitions else df
 
 

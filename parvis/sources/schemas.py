@@ -14,6 +14,12 @@ TRANSACTIONS = T.StructType([
         "type_local", "code_departement")
 ])
 
+# Read leniently at landing, so that later filters on them reach the scan of the raw table.
+TRANSACTION_NUMBERS = {
+    "valeur_fonciere": "double", "surface_reelle_bati": "double", "longitude": "double",
+    "latitude": "double", "nombre_pieces_principales": "long",
+}
+
 # Measures are landed as text: a portal may send a word where a number belongs.
 AIR = T.StructType([
     T.StructField(name, T.StringType()) for name in ("date_heure", "no2", "o3", "pm10", "pm25")])

@@ -19,8 +19,9 @@ def column(spark, values, expression, as_type="string"):
 
 
 def test_lenient_casts(spark):
-    texts = ["1.5", " 2 ", "x", "", None, "1d", "1e3", "NA"]
-    assert column(spark, texts, casts.to_double) == [1.5, 2.0, None, None, None, None, 1000.0, None]
+    texts = ["1.5", " 2 ", "x", "", None, "1d", "1e3", "NA", "0x1p3", "-.5"]
+    assert column(spark, texts, casts.to_double) == \
+        [1.5, 2.0, None, None, None, None, 1000.0, None, None, -0.5]
     assert column(spark, ["7", "12.5", "-3", "x", None], casts.to_long) == [7, None, -3, None, None]
     dates = column(spark, ["2024-02-29", "2024-02-30", "29/02/2024", None], casts.to_iso_date)
     assert [str(d) for d in dates] == ["2024-02-29", "None", "None", "None"]

@@ -32,7 +32,8 @@ def test_transactions(spark, root):
         f.write("\n".join(lines))
     got = rows(readers.read_transactions(spark, root))
     assert [r[0] for r in got] == ["a", "b"]
-    assert got[1][2:7] == (None, None, "x", None, None)
+    assert got[0][2:8] == ("2024-01-02", 100000.0, 20.0, 2.34, 48.86, 2)
+    assert got[1][2:7] == (None, None, None, None, None)
 
 
 def test_short_rows_are_kept(spark, root):
