@@ -44,6 +44,18 @@ def test_query_equals_sql(spark, con, name):
     assert difference(mine, con.execute(sql).df()) is None
 
 
+@pytest.mark.parametrize("name", ["spatial_join", "silver_transactions", "kpi_area"])
+def test_same_answers_when_nothing_is_small_enough_to_broadcast(spark, con, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        mine = entry.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert difference(mine, con.execute(entry.oracle_sql()[name]).df()) is None
+
+
 def plan(df):
     df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
     return df._jdf.queryExecution().executedPlan().toString()
