@@ -224,7 +224,6 @@ def _holed(spark, sf):
         f"array(array({x}, {y}), array({x} + {w}, {y}), array({x} + {w}, {y} + {w}), "
         f"array({x}, {y} + {w}), array({x}, {y}))")
     outer, hole = square("x", "y", "w"), square("(x + w / 8)", "(y + w / 8)", "w / 4")
-    # Suppliers repeat over the parts they sell, so the work grows with the tables.
     return table(spark, sf, "supplier").selectExpr(
         "s_suppkey", f"{_W} AS w", f"{_X} AS x", f"{_Y} AS y"
     ).selectExpr("s_suppkey", f"array(array({outer}, {hole})) AS parts").withColumn(

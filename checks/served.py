@@ -11,6 +11,7 @@ from checks.standin import KPI_OUT, KPI_ROUNDED, table
 from parvis.constants import INDICATORS
 from parvis.operators import paging as P
 from parvis.plans import gold, quality, serving
+from parvis.staging import stage
 
 # Sorting and paging --------------------------------------------------------------------
 
@@ -152,7 +153,8 @@ def choropleth_scale(spark, sf):
         AS prix_m2 FROM kpi LEFT JOIN (SELECT code_arrondissement, prix_m2_median FROM timeline
         WHERE year_month = '1998-07') t USING (code_arrondissement)""")
 def month_overlay(spark, sf):
-    out = serving.month_overlay(S.kpi(spark, sf), S.timeline(spark, sf), "1998-07")
+    facts = stage(S.monthly(spark, sf), "facts")
+    out = serving.month_overlay(S.kpi(spark, sf, facts), gold.timeline_area(facts), "1998-07")
     return rounded(out.select("code_arrondissement", "label", "prix_m2"), 6, "prix_m2")
 
 
@@ -212,4 +214,6 @@ def table_fingerprint(spark, sf):
     UNION ALL SELECT 'categories_missing', 6 - count(DISTINCT category) FROM counts
     UNION ALL SELECT 'categories_unknown', CAST(0 AS BIGINT)""")
 def quality_checks(spark, sf):
-    return quality.quality_checks(S.kpi(spark, sf), S.timeline(spark, sf), S.counts(spark, sf))
+    facts, poi_facts = stage(S.monthly(spark, sf), "facts"), stage(S.counts(spark, sf), "facts")
+    return quality.quality_checks(
+        S.kpi(spark, sf, facts, poi_facts), gold.timeline_area(facts), poi_facts)

@@ -344,6 +344,9 @@ KPI_OUT = ", ".join(
     for c in [*KPI_COLUMNS, "idx_attractivite"])
 
 
-def kpi(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.kpi_area(dim(spark, sf), monthly(spark, sf), units(spark, sf), income(spark, sf),
-                         air(spark, sf), counts(spark, sf))
+def kpi(spark: SparkSession, sf: str, facts: DataFrame | None = None,
+        poi_facts: DataFrame | None = None) -> DataFrame:
+    """The indicator table; ``facts`` and ``poi_facts`` pass on fact tables already built."""
+    return gold.kpi_area(
+        dim(spark, sf), monthly(spark, sf) if facts is None else facts, units(spark, sf),
+        income(spark, sf), air(spark, sf), counts(spark, sf) if poi_facts is None else poi_facts)

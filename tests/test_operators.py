@@ -16,6 +16,7 @@ from parvis.operators import rows as R
 from parvis.operators import validation as V
 from parvis.operators.quantiles import grouped_quantiles
 from parvis.operators.spatial import area_cells, grid_size, spatial_join
+from parvis.plans.serving import kpi_order
 from parvis.operators.windows import dense_rank_desc, id_chunk, lag_delta, median_over
 
 
@@ -245,6 +246,14 @@ def test_paging(spark):
         P.page_slice(df, [F.col("n")], 0)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_nulls_sort_last_and_ties_by_code(spark, descending):
+    df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("d", None), ("c", 2.0)],
+                               "code_arrondissement string, prix_m2 double")
+    got = [r[0] for r in df.orderBy(*kpi_order("prix_m2", descending)).collect()]
+    assert got == (["c", "a", "b", "d"] if descending else ["a", "b", "c", "d"])
+
+
 def test_keyset_pages_cover_everything_once(spark):
     df = spark.range(57).selectExpr("id % 5 AS a", "id AS b")
     seen, last = [], [-1, -1]

@@ -14,7 +14,7 @@ def once(fn):
     """Keep the rows of an expensive stand-in table for the other queries of this run."""
     kept = {}
 
-    def get(spark, sf):
+    def get(spark, sf, *built):
         if sf not in kept:
             kept[sf] = stage(fn(spark, sf), fn.__name__)
         return kept[sf]
