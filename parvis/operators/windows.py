@@ -19,6 +19,10 @@ from parvis.operators.ordering import ordered_bucket, same
 from parvis.operators.quantiles import grouped_quantiles
 from parvis.staging import stage
 
+# Rows of one chunk above which its copies are spread over this many windows.
+CROWDED_ROWS = 5_000_000
+SALTS = 256
+
 
 def _matches(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
@@ -47,27 +51,57 @@ def id_chunk(df: DataFrame, name: str, prefix: int = 8, width: int = 1_000_000)
 
 
 def lag_delta(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
-              chunk: Sequence[str], name: str) -> DataFrame:
+              chunk: Sequence[str], name: str, crowded_rows: int = CROWDED_ROWS) -> DataFrame:
     """``value`` less the previous row's value within ``keys``, in the total order ``order``.
 
+    ``value`` has to be part of ``order``, so that rows which tie are copies of one another.
     ``chunk`` names columns that never decrease along ``order`` (a leading part of it, or a
     coarser form, see :func:`id_chunk`): the finer, the more evenly spread. Each chunk's last
     value becomes the row before the next chunk's first.
+
+    A chunk of more than ``crowded_rows`` rows gets its copies spread out first, since only
+    one of them has another row's value before it.
     """
     part = [*keys, *chunk]
-    tails = df.groupBy(*part).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
+    tails = stage(df.groupBy(*part).agg(
+        F.max_by(value, F.struct(*order)).alias("_tail"), F.count(F.lit(1)).alias("_rows")),
+        "chunk-tails")
     follow = Window.partitionBy(*keys).orderBy(*chunk)
     before = tails.select(*part, F.lag("_tail").over(follow).alias(value),
                           F.row_number().over(follow).alias("_nth")).filter("_nth > 1").select(
         *part, value, F.lit(False).alias("_real"))
-    inside = Window.partitionBy(*part).orderBy("_real", *order)
+
+    real = df.withColumn("_real", F.lit(True))
+    crowded = tails.filter(F.col("_rows") > crowded_rows).select(*_prefixed(part))
+    if crowded.isEmpty():
+        real = real.withColumn("_copies", F.lit(None).cast("long"))
+    else:
+        crowded = stage(crowded, "crowded-chunks")
+        real = real.join(crowded, _matches(part), "left_anti").unionByName(
+            _copies_apart(real.join(crowded, _matches(part), "left_semi"), [*part, *order]),
+            allowMissingColumns=True)
+    inside = Window.partitionBy(*part, "_copies").orderBy("_real", *order)
+    step = F.when(F.col("_copies").isNull(), F.col(value) - F.lag(value).over(inside))
     return (
-        df.withColumn("_real", F.lit(True)).unionByName(before, allowMissingColumns=True)
-        .withColumn(name, F.col(value) - F.lag(value).over(inside))
-        .filter("_real").drop("_real")
+        real.unionByName(before, allowMissingColumns=True)
+        .withColumn(name, step.otherwise(F.col(value) - F.col(value)))
+        .filter("_real").drop("_real", "_copies")
     )
 
 
+def _copies_apart(df: DataFrame, tied: Sequence[str]) -> DataFrame:
+    """``_copies``: null for a few rows of each set of copies, a spreading number for the rest.
+
+    The copies are numbered per set and salt, so that a large set is many small windows.
+    """
+    tied = list(dict.fromkeys(tied))
+    numbered = df.withColumn("_id", F.monotonically_increasing_id()).withColumn(
+        "_salt", F.col("_id") % SALTS)
+    nth = F.row_number().over(Window.partitionBy(*tied, "_salt").orderBy("_id"))
+    return numbered.withColumn("_nth", nth).withColumn(
+        "_copies", F.when(F.col("_nth") > 1, F.col("_salt"))).drop("_id", "_salt", "_nth")
+
+
 def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Dense rank of ``value`` within ``keys``, largest first; a null value has no rank.
 

@@ -90,12 +90,16 @@ def income_fan_out(income: DataFrame, codes: Sequence[str] = AREA_CODES) -> Data
     return fan_out(income, "code_arrondissement", codes)
 
 
-def read_air(spark: SparkSession, path: str, schema: T.StructType = schemas.AIR) -> DataFrame:
+def read_air(spark: SparkSession, path: str, schema: T.StructType = schemas.AIR,
+             lines: bool = False) -> DataFrame:
     """Hourly measures as text from a JSON array; fixed values when there are none.
 
+    An array is read by one task per file; ``lines`` reads one measure per line instead, which
+    Spark can split.
+
     ``schema`` names the fields as the file spells them, in whatever letter case.
     """
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
     landed = df.filter(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns]).isNotNull())
     fixed = [tuple(str(v) for v in row) for row in AIR_FALLBACK]
     return or_fallback(landed, schemas.inline(spark, schemas.AIR, fixed))

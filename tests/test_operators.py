@@ -104,6 +104,24 @@ def test_lag_over_chunks(spark, chunk):
     assert rows(mine) == rows(theirs)
 
 
+@pytest.mark.parametrize("crowded_rows", [1_000_000, 100, 1])
+def test_lag_over_many_copies(spark, crowded_rows):
+    """A third of all rows are copies of one sale; exactly one of them has a step."""
+    df = spark.range(3000).selectExpr(
+        "id", "if(id % 3 = 0, 'a', concat('g', id % 2)) AS area", "if(id % 3 = 0, 4, id % 9) AS day",
+        "if(id % 3 = 0, 77, id % 50) AS sale", "if(id % 3 = 0, 5D, id % 7) AS price")
+    df = df.unionByName(spark.createDataFrame(
+        [(-1, "a", 3, 1, 2.0), (-2, "a", 4, 78, 9.0), (-3, "a", 5, 1, None), (-4, "a", 5, 1, None)],
+        df.schema)).repartition(6)
+    order = ["day", "sale", "price"]
+    mine = lag_delta(df, ["area"], "price", order, ["day"], "d", crowded_rows)
+    w = Window.partitionBy("area").orderBy(*order)
+    theirs = df.withColumn("d", F.col("price") - F.lag("price").over(w))
+    columns = ["area", *order, "d"]
+    assert rows(mine.select(*columns)) == rows(theirs.select(*columns))
+    assert mine.select("id").distinct().count() == mine.count() == 3004
+
+
 def test_lag_with_text_ids_and_null_groups(spark):
     df = spark.range(500).selectExpr(
         "if(id % 3 = 0, null, id % 2) AS k", "id % 4 AS day",

@@ -85,6 +85,12 @@ def test_air(spark, root):
         ("h1", "1.5", None, "bad", None), ("h2", None, None, None, None)]
 
 
+def test_air_lines(spark, root):
+    put(root, "a.json", '{"date_heure":"h1","no2":1}\n{"date_heure":"h2","no2":2}\n')
+    assert [r[:2] for r in rows(readers.read_air(spark, root, lines=True))] == \
+        [("h1", "1"), ("h2", "2")]
+
+
 @pytest.mark.parametrize("text", ["[]", '{"error": "closed"}'])
 def test_air_fallback(spark, root, text):
     put(root, "a.json", text)
