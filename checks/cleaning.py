@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query, rounded, rounded_sql
 from checks.standin import (
-    KPI_OUT, KPI_ROUNDED, income_raw, kpi, poi, poi_sources, sales_raw, table, timeline, units_raw,
+    KPI_OUT, KPI_ROUNDED, area_sales, income_raw, kpi, poi, poi_sources, sales_raw, table, timeline, units_raw,
 )
 from parvis.constants import DWELLING_TYPES, LAT_RANGE, LON_RANGE, VALUE_RANGE
 from parvis.functions import casts, codes
@@ -171,7 +171,6 @@ def union_poi(spark, sf):
     SELECT id_mutation, numero_disposition, prix_m2 FROM area_sales
     WHERE prix_m2 BETWEEN 1000 AND 40000""")
 def range_filter_unit_price(spark, sf):
-    from checks.standin import area_sales
     return gold.plausible_prices(area_sales(spark, sf)).select(
         "id_mutation", "numero_disposition", "prix_m2")
 

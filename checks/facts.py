@@ -15,7 +15,6 @@ from parvis.operators import rows as R
 from parvis.operators.spatial import spatial_join as join_areas
 from parvis.operators.windows import dense_rank_desc, id_chunk, lag_delta, median_over
 from parvis.plans import gold, silver
-from parvis.staging import stage
 
 # Joins ---------------------------------------------------------------------------------
 

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.registry import query
-from checks.standin import DAY, REGISTRY, income_raw, table
-from parvis.constants import AREA_CODES, DWELLINGS, POPULATION
-from parvis.operators.rows import fan_out
+from checks.standin import REGISTRY, table
+from parvis.constants import AREA_CODES
 from parvis.plans.gold import dwellings_table, population_table
 from parvis.sources import layout, readers
 from parvis.staging import new_scratch_path

@@ -12,10 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from parvis.constants import AREA_CENTRES, AREA_CODES, CATEGORIES
+from parvis.constants import AREA_CENTRES, AREA_CODES
 from parvis.plans import gold, quality, serving, silver
 from parvis.plans.build import GOLD, Build, build_layers
-from parvis.sources import layout, readers
+from parvis.sources import readers
 from test_sources import HEADER
 
 DAY = "2024-05-03"

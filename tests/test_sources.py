@@ -7,7 +7,6 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
