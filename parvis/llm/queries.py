@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parvis.llm import chat, minhash, packing, secrets, tokenfile
+from parvis.llm import chat, decontaminate, minhash, packing, secrets, tokenfile
 from parvis.llm.tables import read
 from parvis.staging import new_scratch_path
 
@@ -48,6 +48,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+SQL["op9_decontaminate"] = decontaminate.SQL
+
+
 @query
 def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_path(spark, "token-file")
