@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parvis.llm import chat, decontaminate, minhash, packing, secrets, tokenfile
+from parvis.llm import (
+    chat, decontaminate, licenses, lm, minhash, onebit, packing, secrets, tokenfile, toxicity)
 from parvis.llm.tables import read
 from parvis.staging import new_scratch_path
 
@@ -30,6 +31,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(secrets.find_secrets(read(spark, sf_dir, "documents")))
 
 
+@query
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read(spark, sf_dir, "documents"),
+                          lambda doc_id: toxicity.held_out(doc_id, 7, 2))
+
+
 @query
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
@@ -48,6 +55,25 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    network = toxicity.train_network(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs, network)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(licenses.find_licenses(read(spark, sf_dir, "documents")))
+
+
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(
