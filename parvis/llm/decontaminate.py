@@ -6,8 +6,7 @@ places of the benchmark set bits in a map of fixed size; places of the training
 miss the map are dropped before any shuffle, and the others are joined with the benchmark's
 hashes. A hit gives a diagonal; along it the item is held against the text word by word.
 
-Only DataFrame functions are used. The map has ``MAP_BITS`` bits however large the benchmark is:
-a full map lets more places through to the join, which drops them.
+Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -15,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parvis.llm.bitmap import bit_map, in_map
 from parvis.staging import stage
 
 MASKS = ("11011", "1101011", "11101101")
 LEAST = min(map(len, MASKS))
 WINDOW = 20
 THRESHOLD = 80
-MAP_BITS = 1 << 23
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
@@ -45,25 +44,6 @@ def _seeds(rows: DataFrame, *keep: str) -> DataFrame:
         "key is not null")
 
 
-def bit_map(keys: DataFrame) -> Column:
-    """A map of ``MAP_BITS`` bits, as a scalar: those that the ``key`` column sets."""
-    words = MAP_BITS // 64
-    word = F.shiftrightunsigned("key", 6).bitwiseAND(words - 1).cast("int").alias("word")
-    bits = keys.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))"))
-                                  .alias("bits"))
-    every = keys.sparkSession.range(words).select(F.col("id").cast("int").alias("word"))
-    filled = stage(every.join(bits, "word", "left").select(
-        "word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")), "bit-map")
-    return filled.agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda s: s["bits"])
-        .alias("map")).scalar()
-
-
-def _bit(bits: Column, key: Column) -> Column:
-    word = F.get(bits, F.shiftrightunsigned(key, 6).bitwiseAND(MAP_BITS // 64 - 1).cast("int"))
-    return F.call_function("getbit", word, key.bitwiseAND(63).cast("int")) == 1
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text"
                  ) -> DataFrame:
@@ -84,14 +64,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .where(F.col("item_id").isNotNull() & (F.size("h") >= LEAST)).distinct(), "items")
     keys = stage(_seeds(items, "item_id").withColumnRenamed("place", "item_place").distinct(),
                  "seeds")
-    passed = _seeds(texts, "doc_id").where(_bit(bit_map(keys), F.col("key")))
+    passed = _seeds(texts, "doc_id").where(in_map(bit_map(keys), F.col("key")))
     found = stage(
         passed.join(keys, "key")
         .select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("doc_start"))
         .distinct(), "diagonals")
 
     own = found.select(F.xxhash64("doc_id").alias("key"))
-    again = (rows.where(_bit(bit_map(own), F.xxhash64("doc_id")))
+    again = (rows.where(in_map(bit_map(own), F.xxhash64("doc_id")))
              .select("doc_id", word_hashes(F.col("text")).alias("h")))
     pairs = found.join(again, "doc_id").join(
         items.withColumnRenamed("h", "item"), "item_id")

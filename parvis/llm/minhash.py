@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parvis.llm.bitmap import bit_map, in_map
 from parvis.llm.components import connected_components
 from parvis.llm.tables import id_text
 from parvis.llm.words import BASE, Words, mix, word_slices
@@ -188,17 +189,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
 
     single = known.select("doc_id", "bands").join(copies, "doc_id", "left_anti")
     buckets = single.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
-    shared = (
+    shared = stage(
         buckets.groupBy("bucket")
         .agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("x"),
              F.sum(F.xxhash64("node", F.lit(1)).bitwiseAND(0xFFFFFFFF)).alias("y"))
         .where("members > 1")
-        .groupBy("members", "x", "y").agg(F.min("bucket").alias("bucket")))
+        .groupBy("members", "x", "y").agg(F.min("bucket").alias("bucket")), "buckets")
+    filled = bit_map(shared.select(F.col("bucket").alias("key")))
     members = stage(
-        buckets.join(shared.select("bucket", "members"), "bucket").distinct(), "members")
+        buckets.where(in_map(filled, F.col("bucket")))
+        .join(shared.select("bucket", "members"), "bucket").distinct(), "members")
 
     wanted = members.select("node").distinct()
-    texts = rows.join(wanted, rows.doc_id == wanted.node, "left_semi")
+    known = bit_map(wanted.select(F.xxhash64("node").alias("key")))
+    near = rows.where(in_map(known, F.xxhash64("doc_id")))
+    texts = near.join(wanted, near.doc_id == wanted.node, "left_semi")
     sets = texts.mapInArrow(_sets(shingle_words), "node long, shingles binary")
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
     split = members.withColumns({
