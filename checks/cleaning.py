@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query, rounded, rounded_sql
 from checks.standin import (
-    KPI_OUT, KPI_ROUNDED, area_sales, income_raw, kpi, poi, poi_sources, sales_raw, table, timeline, units_raw,
+    KPI_OUT, KPI_ROUNDED, POI_LAT, POI_LON, area_sales, income_raw, kpi, poi, poi_sources, sales_raw, table, timeline, units_raw,
 )
 from parvis.constants import DWELLING_TYPES, LAT_RANGE, LON_RANGE, VALUE_RANGE
 from parvis.functions import casts, codes
@@ -28,21 +28,22 @@ _TEXT = """CASE l_orderkey % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '12e
 @query("lenient_cast", """
     SELECT l_orderkey, CASE l_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL
             WHEN 3 THEN NULL WHEN 4 THEN 3.5e0 ELSE CAST(l_partkey AS DOUBLE) END AS as_double,
-        CASE WHEN l_orderkey % 7 > 4 THEN CAST(l_partkey AS VARCHAR) END AS as_long FROM lineitem""")
+        CASE WHEN l_orderkey % 7 > 4 THEN l_partkey END AS as_long FROM lineitem""")
 def lenient_cast(spark, sf):
     raw = table(spark, sf, "lineitem").selectExpr("l_orderkey", _TEXT.format(text="STRING") + " AS t")
     return raw.select("l_orderkey", casts.lenient(raw, "t", "double").alias("as_double"),
-                      casts.lenient(raw, "t", "long").cast("string").alias("as_long"))
+                      casts.lenient(raw, "t", "long").alias("as_long"))
 
 
 @query("parse_date_lenient", """
-    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN
+        CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INT) END
         AS parsed FROM orders""")
 def parse_date_lenient(spark, sf):
     text = "CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') " \
            "WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yyyy') ELSE '2024-02-30' END AS t"
     raw = table(spark, sf, "orders").selectExpr("o_orderkey", text)
-    return raw.select("o_orderkey", casts.lenient(raw, "t", "date").cast("string").alias("parsed"))
+    return raw.select("o_orderkey", F.unix_date(casts.lenient(raw, "t", "date")).alias("parsed"))
 
 
 _SALE_OUT = "id_mutation, numero_disposition, date_mutation, valeur_fonciere, " \
@@ -146,20 +147,45 @@ def resolve_name_column(spark, sf):
     return named[0].union(named[1]).groupBy("name").agg(F.count("*").alias("n"))
 
 
-@query("extract_lon_lat", "SELECT name, lon, lat FROM poi_raw")
+_SHAPES = {
+    "point": "named_struct('lon', {x}, 'lat', {y}) AS geo_point_2d",
+    "shape": "named_struct('geometry', if(event_id % 5 = 0, null, named_struct("
+             "'coordinates', array({x}, {y})))) AS geo_shape",
+    "line": "named_struct('geometry', named_struct('coordinates', array(array({x}, {y}), "
+            "array(0D, 0D)))) AS geo_shape",
+    "none": "{x} AS abscissa"}
+
+
+@query("extract_lon_lat", "SELECT name, lon, lat FROM poi_raw" + "".join(
+    f""" UNION ALL SELECT '{kind}', CASE WHEN {given} THEN {POI_LON} END,
+        CASE WHEN {given} THEN {POI_LAT} END FROM events"""
+    for kind, given in {"point": "true", "shape": "event_id % 5 <> 0", "line": "true",
+                        "none": "false"}.items()))
 def extract_lon_lat_(spark, sf):
-    frames = []
-    for raw in poi_sources(spark, sf):
+    """Flat columns, a text, a struct, a point's and a line's shape, and no coordinates."""
+    raws = [(raw, F.col(R.name_column(raw.columns))) for raw in poi_sources(spark, sf)]
+    raws += [(table(spark, sf, "events").selectExpr(
+        "event_id", shape.format(x=f"({POI_LON})", y=f"({POI_LAT})")), F.lit(kind))
+        for kind, shape in _SHAPES.items()]
+    out = None
+    for raw, name in raws:
         lon, lat = extract_lon_lat(raw.schema)
-        frames.append(raw.select(F.col(R.name_column(raw.columns)).alias("name"),
-                                 lon.alias("lon"), lat.alias("lat")))
-    return frames[0].union(frames[1])
+        part = raw.select(name.alias("name"), lon.alias("lon"), lat.alias("lat"))
+        out = part if out is None else out.union(part)
+    return out
+
 
+@query("default_columns", """
+    SELECT event_id, event_type, 'unknown' AS category FROM events""")
+def default_columns(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    return R.with_default(R.with_default(events, "category", "unknown"), "event_type", "unknown")
 
-@query("poi_canonical", "SELECT * FROM poi_points WHERE name LIKE 'u1%'")
+
+@query("poi_canonical", "SELECT * FROM poi_points")
 def poi_canonical(spark, sf):
     one, two = (silver.poi_points(raw) for raw in poi_sources(spark, sf))
-    return one.unionByName(two).filter(F.col("name").startswith("u1"))
+    return one.unionByName(two)
 
 
 @query("union_poi", "SELECT * FROM poi_points")
@@ -176,15 +202,18 @@ def range_filter_unit_price(spark, sf):
 
 
 @query("nonnull_coords", """
-    SELECT code_arrondissement, category, subcategory, name, lon, lat FROM poi""")
+    SELECT code_arrondissement, category, subcategory, name, lon, lat FROM poi
+    WHERE lon < 2.4 AND lat < 48.9""")
 def nonnull_coords(spark, sf):
-    return gold.poi_table(poi(spark, sf))
+    """Points to the east have lost their longitude, those to the north their latitude."""
+    return gold.poi_table(poi(spark, sf).withColumns({
+        "lon": F.expr("if(lon < 2.4D, lon, null)"), "lat": F.expr("if(lat < 48.9D, lat, null)")}))
 
 
 @query("filter_kpi", f"""
-    SELECT {KPI_OUT} FROM kpi WHERE idx_attractivite >= -0.1e0 AND prix_m2 <= 1e9""")
+    SELECT {KPI_OUT} FROM kpi WHERE idx_attractivite >= -0.1e0 AND prix_m2 <= 2600""")
 def filter_kpi(spark, sf):
-    kept = serving.filter_kpi(kpi(spark, sf), min_attractiveness=-0.1, max_price=1e9)
+    kept = serving.filter_kpi(kpi(spark, sf), min_attractiveness=-0.1, max_price=2600)
     return rounded(kept, 6, *KPI_ROUNDED)
 
 
@@ -200,7 +229,7 @@ def filter_timeline(spark, sf):
     SELECT code_arrondissement, category, subcategory, name, lon, lat FROM poi
     WHERE category = 'transport' AND subcategory = 'k1'""")
 def filter_poi(spark, sf):
-    return serving.filter_poi(gold.poi_table(poi(spark, sf)), "transport", "k1", 20_000)
+    return serving.filter_poi(gold.poi_table(poi(spark, sf)), "transport", "k1")
 
 
 # Codes and labels ----------------------------------------------------------------------

@@ -13,7 +13,7 @@ from parvis.functions import geometry as G
 from parvis.functions import indices as I
 from parvis.operators import rows as R
 from parvis.operators.spatial import spatial_join as join_areas
-from parvis.operators.windows import dense_rank_desc, id_chunk, lag_delta, median_over
+from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
 from parvis.plans import gold, silver
 
 # Joins ---------------------------------------------------------------------------------
@@ -48,21 +48,22 @@ _BASE_OUT = "code_arrondissement, label, population, parc_logements, " + ", ".jo
     [f"{rnd_sql('revenu_median', 6)} AS revenu_median", *[f"nb_{c}" for c in CATEGORIES]])
 
 
-@query("left_join_dims", f"SELECT {_BASE_OUT} FROM base")
+@query("left_join_dims", f"SELECT {_BASE_OUT} FROM area_sheet")
 def left_join_dims(spark, sf):
     return rounded(_base(spark, sf), 6, "revenu_median").drop("centroid_lon", "centroid_lat")
 
 
 @query("coalesce_defaults", """
     SELECT n_nationkey, coalesce(n_suppliers, 0) AS n_suppliers FROM nation LEFT JOIN (
-        SELECT s_nationkey, count(*) AS n_suppliers FROM supplier WHERE s_acctbal > 5000
+        SELECT s_nationkey, count(*) AS n_suppliers FROM supplier WHERE s_acctbal > 8000
         GROUP BY 1) ON n_nationkey = s_nationkey""")
 def coalesce_defaults(spark, sf):
-    per_nation = table(spark, sf, "supplier").filter("s_acctbal > 5000").groupBy(
-        "s_nationkey").agg(F.count("*").alias("n"))
-    return table(spark, sf, "nation").join(
-        per_nation, F.expr("n_nationkey = s_nationkey"), "left").select(
-        "n_nationkey", F.coalesce("n", F.lit(0)).alias("n_suppliers"))
+    """Of all suppliers those with a large balance count; nations without any have a gap."""
+    per_nation = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
+        F.sum(F.when(F.col("s_acctbal") > 8000, F.lit(1))).alias("n_suppliers"))
+    joined = table(spark, sf, "nation").join(
+        per_nation, F.expr("n_nationkey = s_nationkey"), "left")
+    return joined.select("n_nationkey", gold.zero_for_missing("n_suppliers"))
 
 
 @query("scalar_latest_year", f"""
@@ -174,12 +175,10 @@ def dense_rank_month(spark, sf):
         ORDER BY date_mutation, id_mutation, numero_disposition, prix_m2)
         AS delta_prix_m2_vs_prev FROM area_sales""")
 def delta_prev_sale(spark, sf):
-    sales = _sales(spark, sf)
-    sales = sales.withColumn("id_range", id_chunk(sales, "id_mutation"))
-    out = lag_delta(sales, ["code_arrondissement", "year"], "prix_m2",
+    out = lag_delta(_sales(spark, sf), ["code_arrondissement", "year"], "prix_m2",
                     ["date_mutation", "id_mutation", "numero_disposition", "prix_m2"],
-                    ["date_mutation", "id_range"], "delta_prix_m2_vs_prev")
-    return out.drop("date_mutation", "id_range")
+                    "delta_prix_m2_vs_prev")
+    return out.drop("date_mutation")
 
 
 @query("zscore_global", f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,15 +40,17 @@ _NUMBERS = ["valeur_fonciere", "surface_reelle_bati", "longitude", "latitude"]
 @query("read_transactions", f"""SELECT * REPLACE (
         {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _NUMBERS)},
         CAST(nombre_pieces_principales AS BIGINT) AS nombre_pieces_principales)
-    FROM (SELECT {_SALE_TEXT.format(
+    FROM (SELECT l_linestatus AS nature_mutation, {_SALE_TEXT.format(
     text='VARCHAR', na='NULL', date="strftime(l_shipdate, '%Y-%m-%d')")}
     FROM lineitem) WHERE code_departement = '75'""")
 def read_transactions(spark, sf):
+    """The files hold one column more than is needed, and the columns in reverse order."""
     path = new_scratch_path(spark, "landed-sales")
     fields = _SALE_TEXT.format(text="STRING", na="'NA'",
                                date="date_format(l_shipdate, 'yyyy-MM-dd')")
-    table(spark, sf, "lineitem").selectExpr("year(l_shipdate) AS annee", *[
-        f.strip() for f in _split(fields)]).write.partitionBy("annee").option(
+    table(spark, sf, "lineitem").selectExpr(
+        "year(l_shipdate) AS annee", "l_linestatus AS nature_mutation",
+        *[f.strip() for f in reversed(_split(fields))]).write.partitionBy("annee").option(
         "header", True).option("compression", "gzip").csv(path)
     return readers.read_transactions(spark, f"{path}/*/")
 
@@ -70,16 +74,13 @@ _RECORD = T.StructType([T.StructField("o_orderkey", T.LongType()),
 
 
 @query("read_paged_records", """
-    SELECT o_orderkey, o_orderstatus, o_custkey FROM orders,
-        (SELECT max(o_orderkey) // 125 * 100 + 50 AS hole FROM orders)
-    WHERE o_orderkey <> hole AND o_orderkey // 100 <= hole // 100""")
+    SELECT o_orderkey, o_orderstatus, o_custkey FROM orders""")
 def read_paged_records(spark, sf):
-    """A record is missing at four fifths of the pages, so paging ends there."""
+    """Pages of uneven length, all of which count."""
     orders = table(spark, sf, "orders")
-    hole = orders.select(F.expr("max(o_orderkey) div 125 * 100 + 50")).scalar()
     path = new_scratch_path(spark, "landed-pages")
-    orders.filter(F.col("o_orderkey") != hole).groupBy(
-        F.expr("o_orderkey div 100").alias("page")
+    orders.groupBy(
+        F.expr("cast(sqrt(o_orderkey) * 10 as bigint)").alias("page")
     ).agg(F.collect_list(F.struct(*_RECORD.names)).alias("results")).write.json(path)
     return readers.read_paged_records(spark, path, _RECORD)
 
@@ -87,7 +88,8 @@ def read_paged_records(spark, sf):
 # Income --------------------------------------------------------------------------------
 
 _INCOME_SQL = """SELECT CAST(75049 + c_nationkey AS VARCHAR) AS CODGEO,
-        CAST(count(*) AS DOUBLE) AS MED21, NULL::DOUBLE AS PIMP21,
+        CAST(count(*) AS DOUBLE) AS MED21, CAST(count(*) + 1 AS DOUBLE) AS MED20,
+        NULL::DOUBLE AS PIMP21,
         CAST(75049 + c_nationkey AS VARCHAR) AS code_commune,
         NULL::DOUBLE AS TP6021, NULL::DOUBLE AS RD21
     FROM customer WHERE c_nationkey = 7 GROUP BY c_nationkey"""
@@ -96,7 +98,8 @@ _INCOME_SQL = """SELECT CAST(75049 + c_nationkey AS VARCHAR) AS CODGEO,
 def _landed_income(spark, sf):
     path = new_scratch_path(spark, "landed-income")
     table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("MED21")).select(
-        (F.col("c_nationkey") + 75049).alias("CODGEO"), "MED21", F.lit("ND").alias("PIMP21")
+        (F.col("c_nationkey") + 75049).alias("CODGEO"), "MED21",
+        (F.col("MED21") + 1).alias("MED20"), F.lit("ND").alias("PIMP21")
     ).write.option("header", True).option("sep", ";").csv(path)
     return readers.read_income(spark, path)
 
@@ -136,15 +139,17 @@ def read_air_json(spark, sf):
 
 
 @query("read_poi_csv", """
-    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS nom,
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 7 <> 0 THEN
+            event_type || ' "' || event_id || '"; ' || chr(10) || 'x' END AS nom,
         '11' AS "REGION", 'culture' AS category, 'musee' AS subcategory
     FROM events WHERE event_id % 5 = 0""")
 def read_poi_csv(spark, sf):
     path = new_scratch_path(spark, "landed-poi")
     table(spark, sf, "events").selectExpr(
-        "event_id AS id", "if(event_id % 7 = 0, 'NA', event_type) AS nom",
+        "event_id AS id", """if(event_id % 7 = 0, 'NA',
+            concat(event_type, ' "', event_id, '"; ', char(10), 'x')) AS nom""",
         "if(event_id % 5 = 0, '11', '93') AS REGION"
-    ).write.option("header", True).option("sep", ";").csv(path)
+    ).write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
     return readers.read_poi_csv(spark, path, "musees_france")
 
 
@@ -155,10 +160,12 @@ _KEYS = list(REGISTRY)
        + ", ".join(f"({i}, '{k}', '{c}', '{s}')" for i, (k, (c, s)) in enumerate(REGISTRY.items()))
        + f") AS t(n, key, category, subcategory) ON event_id % {len(_KEYS)} = n")
 def tag_poi_source(spark, sf):
-    key = F.element_at(F.array(*[F.lit(k) for k in _KEYS]),
-                       (F.col("event_id") % len(_KEYS) + 1).cast("int"))
-    events = table(spark, sf, "events").select("event_id", key.alias("key"))
-    return readers.tag_poi_sources(events, F.col("key"))
+    """Every source is tagged as the build does it, and the sources are joined."""
+    events = table(spark, sf, "events").select("event_id")
+    return reduce(lambda a, b: a.unionByName(b), [
+        readers.tag_poi_source(
+            events.filter(F.col("event_id") % len(_KEYS) == i).withColumn("key", F.lit(k)), k)
+        for i, k in enumerate(_KEYS)])
 
 
 # Polygons ------------------------------------------------------------------------------
@@ -213,13 +220,13 @@ def _snapshots(spark, sf):
     SELECT o_orderkey, o_orderstatus, {_DAYS} AS ingestion_date FROM orders
     WHERE o_orderkey % 3 = 2""")
 def scan_latest_snapshot(spark, sf):
-    return layout.scan_latest(layout.read_table(spark, _snapshots(spark, sf)))
+    return layout.read_latest(spark, _snapshots(spark, sf))
 
 
 @query("scan_all_snapshots", f"""
     SELECT o_orderkey, o_orderstatus, {_DAYS} AS ingestion_date FROM orders""")
 def scan_all_snapshots(spark, sf):
-    return layout.scan_all(layout.read_table(spark, _snapshots(spark, sf)))
+    return layout.read_table(spark, _snapshots(spark, sf))
 
 
 @query("write_partitioned", f"""
@@ -235,12 +242,13 @@ def write_partitioned(spark, sf):
 
 
 @query("create_or_replace_table", """
-    SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 0""")
+    SELECT c_custkey, lower(c_mktsegment) AS segment FROM customer""")
 def create_or_replace_table(spark, sf):
     path = new_scratch_path(spark, "replaced")
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     layout.create_or_replace(customers, path)
-    layout.create_or_replace(customers.filter("c_acctbal > 0").drop("c_acctbal"), path)
+    layout.create_or_replace(
+        customers.selectExpr("c_custkey", "lower(c_mktsegment) AS segment"), path)
     return layout.read_table(spark, path)
 
 

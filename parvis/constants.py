@@ -93,6 +93,3 @@ SORT_KEYS = ["code_arrondissement", "prix_m2", "idx_attractivite", "idx_accessib
 COMPARED = ["prix_m2", *INDICATORS]
 
 PAGE_SIZE = 50
-MAX_PAGE_SIZE = 500
-POI_LIMIT = 2_000
-MAX_POI_LIMIT = 20_000

@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 def to_double(c: Column) -> Column:
     """Decimal number or null.
 
-    Java also reads suffixes (1d, 1f) and hexadecimal numbers (0x1p3); their letters are made
-    unreadable first.
+    Java also reads suffixes (1d, 1f), hexadecimal numbers (0x1p3), NaN and Infinity; their
+    letters are made unreadable first.
     """
-    return F.translate(c.cast("string"), "dDfFxXpP", "????????").try_cast("double")
+    return F.translate(c.cast("string"), "dDfFxXpPnN", "??????????").try_cast("double")
 
 
 def to_long(c: Column) -> Column:

@@ -14,7 +14,7 @@ def extract_lon_lat(schema: T.StructType) -> tuple[Column, Column]:
     """The (lon, lat) expressions for a schema, chosen from the schema alone.
 
     Order: a flat pair of columns, a ``geo_point_2d`` struct, a ``geo_point_2d`` text
-    ``"lat,lon"``, the coordinates of a ``geo_shape``; without any of them both are null.
+    ``"lat,lon"``, the first coordinates of a ``geo_shape``; without any of them both are null.
     """
     by_lower = {f.name.lower(): f for f in schema.fields}
 
@@ -34,7 +34,13 @@ def extract_lon_lat(schema: T.StructType) -> tuple[Column, Column]:
 
     if "geo_shape" in by_lower:
         pair = F.col(f"`{by_lower['geo_shape'].name}`").getField("geometry").getField("coordinates")
-        return F.get(pair, F.lit(0)).try_cast("double"), F.get(pair, F.lit(1)).try_cast("double")
+        kind = by_lower["geo_shape"].dataType["geometry"].dataType["coordinates"].dataType
+        # A line or a polygon is placed at its first point.
+        while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
+            pair, kind = F.get(pair, F.lit(0)), kind.elementType
+        if isinstance(kind, T.ArrayType):
+            return (F.get(pair, F.lit(0)).try_cast("double"),
+                    F.get(pair, F.lit(1)).try_cast("double"))
 
     nothing = F.lit(None).cast("double")
     return nothing, nothing

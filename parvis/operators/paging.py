@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parvis.constants import MAX_PAGE_SIZE, PAGE_SIZE
+from parvis.constants import PAGE_SIZE
 
 
 def keep_if(df: DataFrame, *conditions: Column | None) -> DataFrame:
@@ -29,8 +29,13 @@ def at_most(name: str, value) -> Column | None:
     return F.col(name) <= value if value is not None else None
 
 
-def bounded_size(size: int | None) -> int:
-    return max(1, min(size or PAGE_SIZE, MAX_PAGE_SIZE))
+def page_size(size: int | None) -> int:
+    """The size asked for, or the default; a page never has fewer rows without notice."""
+    if size is None:
+        return PAGE_SIZE
+    if size < 1:
+        raise ValueError("a page has at least one row")
+    return size
 
 
 def page_slice(df: DataFrame, order: list[Column], page: int = 1,
@@ -38,7 +43,7 @@ def page_slice(df: DataFrame, order: list[Column], page: int = 1,
     """Page ``page`` (from 1) of the sorted rows; for deep pages use :func:`page_after`."""
     if page < 1:
         raise ValueError("pages are numbered from 1")
-    size = bounded_size(size)
+    size = page_size(size)
     return df.orderBy(*order).offset((page - 1) * size).limit(size)
 
 
@@ -52,12 +57,12 @@ def page_after(df: DataFrame, keys: list[str], last: list, size: int | None = No
     for name, value in zip(keys, last, strict=True):
         beyond = beyond | (tied & (F.col(name) > F.lit(value)))
         tied = tied & (F.col(name) == F.lit(value))
-    return df.filter(beyond).orderBy(*keys).limit(bounded_size(size))
+    return df.filter(beyond).orderBy(*keys).limit(page_size(size))
 
 
 def page_meta(df: DataFrame, page: int = 1, size: int | None = None) -> DataFrame:
     """One row: page, page_size, total, pages, next_page, prev_page."""
-    size = bounded_size(size)
+    size = page_size(size)
     this = F.lit(page).cast("long")
     return df.agg(F.count(F.lit(1)).alias("total")).select(
         this.alias("page"), F.lit(size).cast("long").alias("page_size"), "total",

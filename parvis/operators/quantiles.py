@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from parvis.operators.ordering import LEVELS, ordered_bucket, same
 from parvis.staging import stage
 
-# Rows of one bucket that a single task may sort; fuller buckets are narrowed further.
-BUCKET_ROWS = 1_000_000
-
 
 def grouped_quantiles(
     df: DataFrame,
@@ -30,13 +27,15 @@ def grouped_quantiles(
     quantiles: Mapping[str, float],
     sums: Mapping[str, str] | None = None,
     count: str | None = None,
-    bucket_rows: int = BUCKET_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per group: ``keys``, the quantiles, and on request row count and sums.
 
     ``quantiles`` maps output names to probabilities, ``sums`` output names to columns, which
     ride along in the first histogram. Null values count as rows but not in the quantiles.
     The narrowing levels run as jobs of their own; the returned frame is the last, lazy step.
+    Narrowing ends where no bucket holds more than its share of all rows among ``partitions``
+    tasks, by default those of a shuffle. NaN counts as the largest value.
     """
     keys = list(keys)
     sums = dict(sums or {})
@@ -64,7 +63,8 @@ def grouped_quantiles(
     narrowed = hits.filter(F.col("_n") > 0).select(
         *keys, "_bucket", "_low", "_high", "_before", "_count", "_n")
     level = 0
-    while level + 1 < len(LEVELS) and _fullest(narrowed) > bucket_rows:
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while level + 1 < len(LEVELS) and _crowded(hits, narrowed, keys, partitions):
         narrowed = stage(_narrow(rows, narrowed, keys, value, level, ranks), "quantile-hits")
         level += 1
     # Rows with the totals and rows with the values found fold into one row per group.
@@ -90,10 +90,12 @@ def _holds(ranks: list[tuple[Column, Column]], before: str, count: str) -> Colum
         (rank >= start) & (rank < end) for pair in ranks for rank in pair])
 
 
-def _fullest(hits: DataFrame) -> int:
-    """Rows in the fullest bucket that still holds different values: one number."""
-    row = hits.filter(F.col("_low") < F.col("_high")).agg(F.max("_count")).first()
-    return row[0] or 0
+def _crowded(hits: DataFrame, narrowed: DataFrame, keys: list[str], partitions: int) -> bool:
+    """Whether a bucket of different values is above one task's share of all rows."""
+    every = hits.groupBy(*keys).agg(F.max("_n").alias("_n")).agg(F.sum("_n")).scalar()
+    full = narrowed.filter((F.col("_low") < F.col("_high"))
+                           & (F.col("_count") * partitions > every))
+    return not full.isEmpty()
 
 
 def _on(keys: Sequence[str], *more: Column) -> Column:

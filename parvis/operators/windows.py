@@ -1,9 +1,8 @@
 """Window results on groups of any size.
 
 A Spark window sorts a whole partition key in one task. Where one group may hold a third of
-the table, the group is cut into ordered chunks and the window runs per (group, chunk). What
-a chunk has to know of the earlier ones is one extra row, added to the chunk before the
-window and removed after it, so the large side is shuffled once and never joined.
+the table, the rows are cut into ordered parts and the window runs per part. What a part has
+to know of the earlier ones is one extra row, added before the window and removed after it.
 """
 
 from __future__ import annotations
@@ -13,16 +12,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parvis.operators.ordering import ordered_bucket, same
 from parvis.operators.quantiles import grouped_quantiles
 from parvis.staging import stage
 
-# Rows of one chunk above which its copies are spread over this many windows.
-CROWDED_ROWS = 5_000_000
-SALTS = 256
-
 
 def _matches(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
@@ -33,73 +27,56 @@ def _prefixed(keys: Sequence[str]) -> list[Column]:
 
 
 def median_over(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """The exact group median on every row.
-
-    The medians, one row per group, are staged: with their size known, few groups are
-    broadcast and the rows stay where they are.
-    """
-    medians = stage(grouped_quantiles(df, keys, value, {name: 0.5}), "group-medians")
-    return df.join(medians.select(*_prefixed(keys), name), _matches(keys), "left").drop(
-        *[f"_k_{k}" for k in keys])
-
-
-def id_chunk(df: DataFrame, name: str, prefix: int = 8, width: int = 1_000_000) -> Column:
-    """A coarse form of an id that keeps its order: a text prefix, or a range of numbers."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.left(F.col(name), F.lit(prefix))
-    return F.floor(F.col(name) / F.lit(width))
+    """The exact group median on every row."""
+    return with_group(df, group_medians(df, keys, value, name), keys)
 
 
-def lag_delta(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
-              chunk: Sequence[str], name: str, crowded_rows: int = CROWDED_ROWS) -> DataFrame:
-    """``value`` less the previous row's value within ``keys``, in the total order ``order``.
-
-    ``value`` has to be part of ``order``, so that rows which tie are copies of one another.
-    ``chunk`` names columns that never decrease along ``order`` (a leading part of it, or a
-    coarser form, see :func:`id_chunk`): the finer, the more evenly spread. Each chunk's last
-    value becomes the row before the next chunk's first.
+def group_medians(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """One written row per group; with its size known, a few are broadcast to the rows."""
+    return stage(grouped_quantiles(df, keys, value, {name: 0.5}), "group-medians")
 
-    A chunk of more than ``crowded_rows`` rows gets its copies spread out first, since only
-    one of them has another row's value before it.
-    """
-    part = [*keys, *chunk]
-    tails = stage(df.groupBy(*part).agg(
-        F.max_by(value, F.struct(*order)).alias("_tail"), F.count(F.lit(1)).alias("_rows")),
-        "chunk-tails")
-    follow = Window.partitionBy(*keys).orderBy(*chunk)
-    before = tails.select(*part, F.lag("_tail").over(follow).alias(value),
-                          F.row_number().over(follow).alias("_nth")).filter("_nth > 1").select(
-        *part, value, F.lit(False).alias("_real"))
-
-    real = df.withColumn("_real", F.lit(True))
-    crowded = tails.filter(F.col("_rows") > crowded_rows).select(*_prefixed(part))
-    if crowded.isEmpty():
-        real = real.withColumn("_copies", F.lit(None).cast("long"))
-    else:
-        crowded = stage(crowded, "crowded-chunks")
-        real = real.join(crowded, _matches(part), "left_anti").unionByName(
-            _copies_apart(real.join(crowded, _matches(part), "left_semi"), [*part, *order]),
-            allowMissingColumns=True)
-    inside = Window.partitionBy(*part, "_copies").orderBy("_real", *order)
-    step = F.when(F.col("_copies").isNull(), F.col(value) - F.lag(value).over(inside))
-    return (
-        real.unionByName(before, allowMissingColumns=True)
-        .withColumn(name, step.otherwise(F.col(value) - F.col(value)))
-        .filter("_real").drop("_real", "_copies")
-    )
 
+def with_group(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the other columns of its row in ``groups``; null keys match."""
+    added = [c for c in groups.columns if c not in keys]
+    return df.join(groups.select(*_prefixed(keys), *added), _matches(keys), "left").drop(
+        *[f"_k_{k}" for k in keys])
 
-def _copies_apart(df: DataFrame, tied: Sequence[str]) -> DataFrame:
-    """``_copies``: null for a few rows of each set of copies, a spreading number for the rest.
 
-    The copies are numbered per set and salt, so that a large set is many small windows.
+def lag_delta(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
+              name: str) -> DataFrame:
+    """``value`` less the previous row's value within ``keys``, in the order of ``order``.
+
+    Rows that tie follow their other columns, so the order is total up to exact copies. These
+    are one row with a count until the end: the first of them steps from the row before, the
+    others from a copy of themselves. The distinct rows are range-partitioned by keys and
+    order, so a partition is even whatever the keys, and written with its number; the last row
+    of each goes before the first of the next.
     """
-    tied = list(dict.fromkeys(tied))
-    numbered = df.withColumn("_id", F.monotonically_increasing_id()).withColumn(
-        "_salt", F.col("_id") % SALTS)
-    nth = F.row_number().over(Window.partitionBy(*tied, "_salt").orderBy("_id"))
-    return numbered.withColumn("_nth", nth).withColumn(
-        "_copies", F.when(F.col("_nth") > 1, F.col("_salt"))).drop("_id", "_salt", "_nth")
+    spark = df.sparkSession
+    total = list(dict.fromkeys([*keys, *order, *df.columns]))
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = stage(distinct.repartitionByRange(parts, *total).withColumn(
+        "_part", F.spark_partition_id()), "ordered-rows")
+    held = list(dict.fromkeys([*keys, value]))
+    tails = placed.groupBy("_part").agg(F.max_by(
+        F.struct(*held), F.struct(*total)).alias("_tail"))
+    before = tails.select(
+        F.lead("_part").over(Window.orderBy("_part")).alias("_part"),
+        *[F.col(f"_tail.{c}").alias(c) for c in held], F.lit(False).alias("_real"),
+    ).filter("_part IS NOT NULL")
+    inside = Window.partitionBy("_part").orderBy("_real", *total)
+    previous = reduce(lambda a, b: a & b, [
+        same(F.col(k), F.lag(k).over(inside)) for k in keys], F.row_number().over(inside) > 1)
+    stepped = (
+        placed.withColumn("_real", F.lit(True)).unionByName(before, allowMissingColumns=True)
+        .withColumn("_step", F.when(previous, F.col(value) - F.lag(value).over(inside)))
+        .filter("_real"))
+    return stepped.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_copies"))).select(
+        *df.columns,
+        F.when(F.col("_nth") == 1, F.col("_step")).otherwise(F.col(value) - F.col(value))
+        .alias(name))
 
 
 def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -90,10 +90,14 @@ def city_air(air: DataFrame) -> Column:
     return air.select(F.avg("aqi_mean_paris")).scalar()
 
 
+def zero_for_missing(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0)).alias(name)
+
+
 def area_base(dim: DataFrame, population: DataFrame, dwellings: DataFrame, income: DataFrame,
               pivot: DataFrame) -> DataFrame:
     """The area table widened by its per-area inputs; missing counts are zero."""
-    zero = lambda name: F.coalesce(F.col(name), F.lit(0)).alias(name)
+    zero = zero_for_missing
     joined = dim.join(population, AREA, "left").join(dwellings, AREA, "left").join(
         income.select(AREA, F.col("MED21").alias("revenu_median")), AREA, "left").join(
         pivot, AREA, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parvis.constants import AREA_PREFIX, CATEGORIES, INDICATORS
+from parvis.constants import AREA_CODES, AREA_PREFIX, CATEGORIES, INDICATORS
 
 AREA = "code_arrondissement"
 HEX_DIGITS = 15
@@ -36,9 +36,15 @@ def _listed(one_row: DataFrame, names: list[str]) -> DataFrame:
     return one_row.unpivot([], names, "check", "failures")
 
 
-def kpi_checks(kpi: DataFrame, areas: int = 20,
+def _missing(codes: list[str]) -> Column:
+    """How many of ``codes`` no row has."""
+    found = F.collect_set(F.when(F.col(AREA).isin(codes), F.col(AREA)))
+    return (F.lit(len(codes)) - F.size(found)).cast("long")
+
+
+def kpi_checks(kpi: DataFrame, codes: list[str] = AREA_CODES,
                price_range: tuple[float, float] = (5_000.0, 25_000.0)) -> DataFrame:
-    """Count, code pattern, missing indicators, centring and price range, in one aggregate."""
+    """Count, absent areas, code pattern, missing indicators, centring and price range."""
     missing = F.col(INDICATORS[0]).isNull()
     for name in INDICATORS[1:]:
         missing = missing | F.col(name).isNull()
@@ -46,7 +52,8 @@ def kpi_checks(kpi: DataFrame, areas: int = 20,
     price = F.col("prix_m2")
     mean = F.avg("idx_attractivite")
     checks = {
-        "area_count": F.when(F.count(F.lit(1)) == areas, 0).otherwise(1).cast("long"),
+        "area_count": F.when(F.count(F.lit(1)) == len(codes), 0).otherwise(1).cast("long"),
+        "areas_missing": _missing(codes),
         "code_pattern": F.count_if(~code.startswith(AREA_PREFIX) | (F.length(code) != 5)),
         "indicators_present": F.count_if(missing),
         "attractiveness_centred":
@@ -56,11 +63,14 @@ def kpi_checks(kpi: DataFrame, areas: int = 20,
     return _listed(kpi.agg(*[c.alias(n) for n, c in checks.items()]), list(checks))
 
 
-def timeline_checks(timeline: DataFrame, months: int = 72) -> DataFrame:
-    """Areas whose series does not have exactly the expected number of months."""
+def timeline_checks(timeline: DataFrame, months: int = 72, codes: list[str] = AREA_CODES
+                    ) -> DataFrame:
+    """Areas without a series, and those whose series has not exactly the expected months."""
     per_area = timeline.groupBy(AREA).agg(F.count(F.lit(1)).alias("n"))
-    return _listed(per_area.agg(F.count_if(F.col("n") != months).alias("timeline_months")),
-                   ["timeline_months"])
+    return _listed(per_area.agg(
+        _missing(codes).alias("timeline_areas_missing"),
+        F.count_if(F.col("n") != months).alias("timeline_months")),
+        ["timeline_areas_missing", "timeline_months"])
 
 
 def poi_checks(counts: DataFrame) -> DataFrame:
@@ -74,9 +84,9 @@ def poi_checks(counts: DataFrame) -> DataFrame:
     return _listed(present.agg(*[c.alias(n) for n, c in checks.items()]), list(checks))
 
 
-def quality_checks(kpi: DataFrame, timeline: DataFrame, counts: DataFrame, areas: int = 20,
-                   months: int = 72,
+def quality_checks(kpi: DataFrame, timeline: DataFrame, counts: DataFrame,
+                   codes: list[str] = AREA_CODES, months: int = 72,
                    price_range: tuple[float, float] = (5_000.0, 25_000.0)) -> DataFrame:
     """(check, failures) over the three tables; a healthy build has zeros only."""
-    return kpi_checks(kpi, areas, price_range).unionByName(
-        timeline_checks(timeline, months)).unionByName(poi_checks(counts))
+    return kpi_checks(kpi, codes, price_range).unionByName(
+        timeline_checks(timeline, months, codes)).unionByName(poi_checks(counts))

@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parvis.constants import (
-    COMPARED, FEATURE_BOX, INDICATORS, MAX_POI_LIMIT, POI_LIMIT, SORT_KEYS,
-)
+from parvis.constants import COMPARED, FEATURE_BOX, INDICATORS, SORT_KEYS
 from parvis.functions.codes import SERVING_PRECEDENCE, resolve_area_code
 from parvis.functions.geometry import box_parts
 from parvis.operators import paging as P
@@ -29,13 +27,10 @@ def filter_timeline(timeline: DataFrame, code: str | None = None, year_from: int
                      P.at_most("year", year_to))
 
 
-def filter_poi(poi: DataFrame, category: str | None = None, subcategory: str | None = None,
-               limit: int = POI_LIMIT) -> DataFrame:
-    """Points of a category, at most ``limit`` of them: a map request, not a full export."""
-    if not 1 <= limit <= MAX_POI_LIMIT:
-        raise ValueError(f"limit must be between 1 and {MAX_POI_LIMIT}")
-    return P.keep_if(poi, P.equal("category", category), P.equal("subcategory", subcategory)
-                     ).limit(limit)
+def filter_poi(poi: DataFrame, category: str | None = None, subcategory: str | None = None
+               ) -> DataFrame:
+    """All points of a category; a map that wants a page of them uses :func:`~P.page_after`."""
+    return P.keep_if(poi, P.equal("category", category), P.equal("subcategory", subcategory))
 
 
 def kpi_order(key: str = AREA, descending: bool = False) -> list[Column]:

@@ -21,7 +21,7 @@ from parvis.functions.indices import unit_price
 from parvis.operators import rows as R
 from parvis.operators import validation as V
 from parvis.operators.spatial import spatial_join
-from parvis.operators.windows import dense_rank_desc, id_chunk, lag_delta, median_over
+from parvis.operators.windows import dense_rank_desc, group_medians, lag_delta, with_group
 from parvis.sources import schemas
 from parvis.sources.layout import stamp
 from parvis.staging import stage
@@ -68,19 +68,16 @@ def located_transactions(raw: DataFrame, areas: DataFrame) -> DataFrame:
 def silver_transactions(raw: DataFrame, areas: DataFrame) -> DataFrame:
     """Valid, located sales with the area median, the month's price rank and the price step.
 
-    The located sales are written once; each added column then reads only what it needs. The
-    step is worked out per day and range of sale ids, so that no area, year or day is too big.
+    The located sales are written once, and medians and ranks are worked out from them, each
+    reading only its own columns, before the small results are joined to the rows.
     """
     sales = stage(located_transactions(raw, areas), "located-sales")
+    medians = group_medians(sales, ["code_arrondissement"], "prix_m2", "prix_m2_median_arr")
     order = [c for c in SALE_ORDER if c in sales.columns]
-    chunk = ["date_mutation"]
-    if "id_mutation" in order:
-        sales = sales.withColumn("_ids", id_chunk(sales, "id_mutation"))
-        chunk.append("_ids")
-    sales = lag_delta(sales, ["code_arrondissement", "year"], "prix_m2", order, chunk,
-                      "delta_prix_m2_vs_prev").drop("_ids")
-    sales = dense_rank_desc(sales, ["year", "month"], "prix_m2", "rank_prix_m2_dans_mois")
-    return median_over(sales, ["code_arrondissement"], "prix_m2", "prix_m2_median_arr")
+    stepped = lag_delta(sales, ["code_arrondissement", "year"], "prix_m2", order,
+                        "delta_prix_m2_vs_prev")
+    ranked = dense_rank_desc(stepped, ["year", "month"], "prix_m2", "rank_prix_m2_dans_mois")
+    return with_group(ranked, medians, ["code_arrondissement"])
 
 
 def social_units(raw: DataFrame, passthrough: bool = False) -> DataFrame:
@@ -89,6 +86,8 @@ def social_units(raw: DataFrame, passthrough: bool = False) -> DataFrame:
     Without recognisable columns it raises :class:`SchemaMismatch`, or on request hands the
     raw rows on.
     """
+    if "no_records" in raw.columns:
+        return schemas.empty(raw.sparkSession, schemas.SOCIAL_UNITS)
     area = R.column_containing(raw.columns, "arrond")
     units = R.column_containing(raw.columns, "nombre", "logements")
     year = R.column_named(raw.columns, "annee", "year")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,48 +20,56 @@ from parvis.operators.rows import column_named, fan_out
 from parvis.sources import schemas
 
 
-def _csv(spark: SparkSession, path: str, tokens: Sequence[str], sep: str,
-         schema: T.StructType | None = None) -> DataFrame:
-    """A headed CSV as text columns. Short rows are kept with nulls at their end."""
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE") \
-        .option("encoding", "UTF-8").option("enforceSchema", False)
-    return null_out((reader.schema(schema) if schema else reader).csv(path), list(tokens))
+def _csv(spark: SparkSession, path: str, tokens: Sequence[str], sep: str) -> DataFrame:
+    """A headed CSV as text columns, named by its header, in whatever order.
+
+    Quotes inside quoted values are doubled, and such values may hold separators and line
+    breaks; so a file is one split. Short rows are kept with nulls at their end.
+    """
+    return null_out(
+        spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+        .option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
+        .option("multiLine", True).csv(path), list(tokens))
 
 
-def read_transactions(spark: SparkSession, path: str, department: str = DEPARTMENT,
-                      schema: T.StructType = schemas.TRANSACTIONS,
+def read_transactions(spark: SparkSession, path: str | Sequence[str],
+                      department: str = DEPARTMENT, schema: T.StructType = schemas.TRANSACTIONS,
                       partitions: int | None = None) -> DataFrame:
     """Sales of one department from (gzipped) CSV files; unreadable numbers are null.
 
-    A gzip file is read by one task, so land one file per year or smaller; ``partitions``
-    spreads the rows of few large files before further work.
+    Columns are found by the header and all of them are kept; those of ``schema`` that the
+    files lack are null. Files under one path share their header; files of several headers are
+    given as several paths, and joined by name. A gzip file is read by one task, so land one
+    file per year or smaller; ``partitions`` spreads the rows of few large files.
     """
-    df = _csv(spark, path, TRANSACTION_NULLS, ",", schema).filter(
-        F.col("code_departement") == department)
+    paths = [path] if isinstance(path, str) else list(path)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                [_csv(spark, p, TRANSACTION_NULLS, ",") for p in paths])
+    df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields
+                         if f.name not in df.columns})
+    df = df.filter(F.col("code_departement") == department)
     df = df.withColumns({c: lenient(df, c, t) for c, t in schemas.TRANSACTION_NUMBERS.items()
                          if c in df.columns})
     return df.repartition(partitions) if partitions else df
 
 
-def read_paged_records(spark: SparkSession, path: str, record: T.StructType | None = None,
-                       page_size: int = 100, max_records: int | None = None) -> DataFrame:
-    """Records of landed API pages ``{"page": n, "results": [...]}``, one JSON per line.
+def read_paged_records(spark: SparkSession, path: str, record: T.StructType | None = None
+                       ) -> DataFrame:
+    """All records of landed API pages ``{"page": n, "results": [...]}``, one JSON per line.
 
-    Pages after the first short one do not count, and with ``max_records`` neither do pages
-    that start at or beyond it, as a client paging by offset would never have asked for them.
-    Without ``record`` the fields are inferred, at the cost of reading the pages once more.
+    Where to stop asking for pages is the downloading client's affair: every landed record
+    counts. Without ``record`` the fields are inferred, at the cost of reading the pages once
+    more; pages that hold no record at all then give a table without rows or columns of their own.
     """
     reader = spark.read
     if record is not None:
         reader = reader.schema(T.StructType([T.StructField("page", T.LongType()),
                                              T.StructField("results", T.ArrayType(record))]))
     pages = reader.json(path)
-    short = pages.filter(F.coalesce(F.size("results"), F.lit(0)) < page_size) \
-        .select(F.min("page")).scalar()
-    kept = pages.filter(F.col("page") <= F.coalesce(short, F.col("page")))
-    if max_records is not None:
-        kept = kept.filter(F.col("page") * page_size < max_records)
-    return kept.select(F.inline("results"))
+    results = pages.schema["results"].dataType if "results" in pages.columns else None
+    if not (isinstance(results, T.ArrayType) and isinstance(results.elementType, T.StructType)):
+        return schemas.empty(spark, schemas.NO_RECORDS)
+    return pages.select(F.inline("results"))
 
 
 def or_fallback(df: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -70,19 +79,23 @@ def or_fallback(df: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def read_income(spark: SparkSession, path: str, commune: str = COMMUNE) -> DataFrame:
-    """The commune's income row, columns as text but for the figures of the fallback row."""
+    """The commune's income row; medians, tax shares and the fallback's figures are numbers."""
     df = _csv(spark, path, INCOME_NULLS, ";")
     code = column_named(df.columns, "codgeo", "code_insee", "commune")
     if code:
         df = df.withColumn("code_commune", F.col(f"`{code}`").cast("string")).filter(
             F.col("code_commune") == commune)
-    for name, value in INCOME_FALLBACK.items():
-        if name in df.columns and isinstance(value, float):
-            df = df.withColumn(name, F.col(name).try_cast("double"))
+    figures = [c for c in df.columns if c.startswith(("MED", "PIMP"))
+               or isinstance(INCOME_FALLBACK.get(c), float)]
+    df = df.withColumns({c: lenient(df, c, "double") for c in figures})
+    return or_fallback(df, income_fallback(spark))
+
+
+def income_fallback(spark: SparkSession) -> DataFrame:
+    """The fixed income row, for a commune that was not landed."""
     fields = [T.StructField(n, T.StringType() if isinstance(v, str) else T.DoubleType())
               for n, v in INCOME_FALLBACK.items()]
-    fallback = schemas.inline(spark, T.StructType(fields), [tuple(INCOME_FALLBACK.values())])
-    return or_fallback(df, fallback)
+    return schemas.inline(spark, T.StructType(fields), [tuple(INCOME_FALLBACK.values())])
 
 
 def income_fan_out(income: DataFrame, codes: Sequence[str] = AREA_CODES) -> DataFrame:
@@ -101,8 +114,13 @@ def read_air(spark: SparkSession, path: str, schema: T.StructType = schemas.AIR,
     """
     df = spark.read.schema(schema).option("multiLine", not lines).json(path)
     landed = df.filter(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns]).isNotNull())
+    return or_fallback(landed, air_fallback(spark))
+
+
+def air_fallback(spark: SparkSession) -> DataFrame:
+    """The fixed air measures, for a source that was not landed."""
     fixed = [tuple(str(v) for v in row) for row in AIR_FALLBACK]
-    return or_fallback(landed, schemas.inline(spark, schemas.AIR, fixed))
+    return schemas.inline(spark, schemas.AIR, fixed)
 
 
 def read_poi_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -123,14 +141,6 @@ def tag_poi_source(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("category", F.lit(category)).withColumn("subcategory", F.lit(subcategory))
 
 
-def tag_poi_sources(df: DataFrame, key: Column) -> DataFrame:
-    """As :func:`tag_poi_source` for a frame mixing sources: a literal map, not a join."""
-    registry = {**CITY_POI, **NATIONAL_POI}
-    pick = lambda i: F.element_at(
-        F.create_map(*[F.lit(x) for k, v in registry.items() for x in (k, v[i])]), key)
-    return df.withColumn("category", pick(0)).withColumn("subcategory", pick(1))
-
-
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
     """(ord, properties, kind, parts) of a GeoJSON FeatureCollection, in file order.
 

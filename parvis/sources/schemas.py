@@ -1,4 +1,4 @@
-"""Explicit schemas, so that no read needs an inference job and no empty table lacks types."""
+"""Explicit schemas, so that reads can go without inference and no empty table lacks types."""
 
 from __future__ import annotations
 
@@ -34,6 +34,13 @@ POI = T.StructType([
     T.StructField("ingestion_date", T.StringType()),
 ])
 
+# What is left of a paged source whose pages hold no records.
+NO_RECORDS = T.StructType([T.StructField("no_records", T.StringType())])
+
+SOCIAL_UNITS = T.StructType([
+    T.StructField("code_arrondissement", T.StringType()), T.StructField("year", T.LongType()),
+    T.StructField("nb_logements_finances", T.LongType())])
+
 FACT_POI = T.StructType([*POI.fields[:3], T.StructField("nb_poi", T.LongType())])
 DIM_POI = T.StructType(POI.fields[:6])
 

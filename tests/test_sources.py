@@ -37,27 +37,51 @@ def test_transactions(spark, root):
 
 def test_short_rows_are_kept(spark, root):
     put(root, "t.csv", HEADER + "\nd,1,2024-01-02\n")
-    df = readers._csv(spark, root, ["NA"], ",", schemas.TRANSACTIONS)
+    df = readers._csv(spark, root, ["NA"], ",")
     assert rows(df) == [("d", "1", "2024-01-02") + (None,) * 7]
 
 
-def test_pages_end_at_the_first_short_one(spark, root):
-    record = T.StructType([T.StructField("n", T.LongType())])
+def test_sales_are_read_by_header_name(spark, root):
+    put(root, "t.csv", "code_departement,nature,date_mutation,id_mutation,valeur_fonciere\n"
+        "75,Vente,2024-01-02,m1,100000\n92,Vente,2024-01-02,m2,1\n")
+    row = readers.read_transactions(spark, root).collect()
+    assert [(r.id_mutation, r.nature, r.valeur_fonciere, r.longitude) for r in row] == \
+        [("m1", "Vente", 100000.0, None)]
+
+
+def test_sales_of_several_headers_are_joined_by_name(spark, root):
+    put(f"{root}/a", "t.csv", "code_departement,id_mutation,lot\n75,m1,x\n")
+    put(f"{root}/b", "t.csv", "id_mutation,code_departement\nm2,75\n")
+    got = readers.read_transactions(spark, [f"{root}/a", f"{root}/b"])
+    assert rows(got.select("id_mutation", "lot")) == [("m1", "x"), ("m2", None)]
+
+
+def test_quoted_quotes_separators_and_line_breaks(spark, root):
+    put(root, "m.csv", 'id;nom;REGION\n1;"Musee ""Le; Grand""";11\n2;"two\nlines";11\n3;x;93\n')
+    got = readers.read_poi_csv(spark, root, "musees_france").select("id", "nom")
+    assert rows(got) == [("1", 'Musee "Le; Grand"'), ("2", "two\nlines")]
+
+
+@pytest.mark.parametrize("inferred", [False, True])
+def test_all_landed_pages_count(spark, root, inferred):
+    record = None if inferred else T.StructType([T.StructField("n", T.LongType())])
     pages = [{"page": p, "results": [{"n": 10 * p + i} for i in range(k)]}
-             for p, k in [(0, 3), (1, 3), (2, 2), (3, 3)]]
+             for p, k in [(0, 3), (1, 2), (2, 0), (3, 3)]]
     put(root, "p.json", "\n".join(map(json.dumps, pages)))
-    read = lambda **kw: [r[0] for r in rows(readers.read_paged_records(
-        spark, root, record, page_size=3, **kw))]
-    assert sorted(read()) == [0, 1, 2, 10, 11, 12, 20, 21]
-    assert sorted(read(max_records=4)) == [0, 1, 2, 10, 11, 12]
-    assert sorted(r[0] for r in rows(readers.read_paged_records(spark, root, page_size=3))) == \
-        [0, 1, 2, 10, 11, 12, 20, 21]
+    got = [r[0] for r in rows(readers.read_paged_records(spark, root, record))]
+    assert sorted(got) == [0, 1, 2, 10, 11, 30, 31, 32]
+
+
+def test_pages_without_records_are_an_empty_table(spark, root):
+    put(root, "p.json", '{"page":0,"results":[]}')
+    got = readers.read_paged_records(spark, root)
+    assert got.columns == ["no_records"] and got.count() == 0
 
 
-def test_empty_page_ends_too(spark, root):
-    record = T.StructType([T.StructField("n", T.LongType())])
-    put(root, "p.json", '{"page":0,"results":[{"n":1}]}\n{"page":1,"results":[]}')
-    assert rows(readers.read_paged_records(spark, root, record, page_size=1)) == [(1,)]
+def test_other_income_figures_are_numbers(spark, root):
+    put(root, "i.csv", "CODGEO;MED20;PIMP20;LIB\n75056;100.5;ND;Paris\n")
+    got = readers.read_income(spark, root)
+    assert got.select("MED20", "PIMP20", "LIB").collect() == [(100.5, None, "Paris")]
 
 
 @pytest.mark.parametrize("code", ["CODGEO", "code_insee", "Commune"])
@@ -146,12 +170,20 @@ def test_snapshots(spark, root):
     layout.write_partitioned(df, path, "ingestion_date", "annee")
     table = layout.read_table(spark, path)
     pick = lambda d: rows(d.select("ingestion_date", "year", "month"))
-    assert pick(layout.scan_all(table)) == [
+    assert pick(table) == [
         ("2024-05-01", 1, 2), ("2024-05-01", 1, 3), ("2024-05-02", 1, 4)]
-    assert pick(layout.scan_latest(table)) == [("2024-05-02", 1, 4)]
-    latest = layout.scan_latest(table, "annee")
+    assert pick(layout.read_latest(spark, path)) == [("2024-05-02", 1, 4)]
+    latest = layout.read_latest(spark, path, "annee")
     assert pick(latest) == [("2024-05-01", 1, 2), ("2024-05-02", 1, 4)]
     assert "PartitionFilters: [((" in latest._jdf.queryExecution().toString()
+    assert [tuple(r) for r in layout.inventory(spark, root).collect()] == [("raw", "dvf", 3, 3)]
+
+
+def test_sales_without_a_date_are_one_partition(spark, root):
+    df = spark.createDataFrame([("2024-05-01", None, 1), ("2024-05-02", None, 2),
+                                ("2024-05-01", 2023, 3)], "ingestion_date string, annee int, n int")
+    layout.write_partitioned(df, f"{root}/t", "ingestion_date", "annee")
+    assert rows(layout.read_latest(spark, f"{root}/t", "annee").select("n")) == [(2,), (3,)]
 
 
 def test_replaying_a_day_replaces_only_that_day(spark, root):
