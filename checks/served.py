@@ -8,7 +8,7 @@ from checks import standin as S
 from checks.cleaning import TIMELINE_OUT, TIMELINE_ROUNDED
 from checks.registry import query, rnd_sql, rounded
 from checks.standin import KPI_OUT, KPI_ROUNDED, table
-from parvis.constants import INDICATORS
+from parvis.constants import CATEGORIES, INDICATORS
 from parvis.operators import paging as P
 from parvis.plans import gold, quality, serving
 from parvis.staging import stage
@@ -94,11 +94,9 @@ def coerce_json_safe(spark, sf):
         subcategory, name FROM poi""")
 def to_geojson_points(spark, sf):
     features = serving.to_geojson_points(gold.poi_table(S.poi(spark, sf)))
-    read = "struct<type string, geometry struct<type string, coordinates array<double>>, " \
-           "properties struct<code_arrondissement string, category string, subcategory string, " \
-           "name string>>"
-    read = read.replace(" string", ": string").replace(" struct", ": struct") \
-        .replace(" array", ": array")
+    read = "struct<type: string, geometry: struct<type: string, coordinates: array<double>>, " \
+           "properties: struct<code_arrondissement: string, category: string, " \
+           "subcategory: string, name: string>>"
     return features.select(F.from_json("feature", read).alias("f")).selectExpr(
         "f.type AS kind", "f.geometry.type AS shape", "f.geometry.coordinates[0] AS lon",
         "f.geometry.coordinates[1] AS lat", "f.properties.code_arrondissement AS code",
@@ -199,21 +197,31 @@ def table_fingerprint(spark, sf):
         quality.table_fingerprint(S.counts(spark, sf), "counts"))
 
 
-@query("quality_checks", """
-    SELECT 'area_count' AS "check", CAST(CASE WHEN count(*) = 20 THEN 0 ELSE 1 END AS BIGINT)
-        AS failures FROM kpi
-    UNION ALL SELECT 'code_pattern', count(*) FROM kpi WHERE code_arrondissement NOT LIKE '751%'
-        OR length(code_arrondissement) <> 5
-    UNION ALL SELECT 'indicators_present', count(*) FROM kpi WHERE idx_accessibilite IS NULL
-        OR idx_tension IS NULL OR idx_effort_social IS NULL OR idx_attractivite IS NULL
-    UNION ALL SELECT 'attractiveness_centred',
-        CAST(CASE WHEN abs(avg(idx_attractivite)) < 0.05 THEN 0 ELSE 1 END AS BIGINT) FROM kpi
-    UNION ALL SELECT 'price_range', count(*) FROM kpi WHERE prix_m2 < 5000 OR prix_m2 > 25000
-    UNION ALL SELECT 'timeline_months', count(*) FROM (SELECT code_arrondissement FROM timeline
-        GROUP BY 1 HAVING count(*) <> 72)
-    UNION ALL SELECT 'categories_missing', 6 - count(DISTINCT category) FROM counts
-    UNION ALL SELECT 'categories_unknown', CAST(0 AS BIGINT)""")
+_CHECKED = {
+    "kpi": {
+        "area_count": "abs(sign(count(*) - 20))",
+        "areas_missing": "20 - count(DISTINCT code_arrondissement) FILTER (code_arrondissement "
+                         "IN (SELECT code FROM boxes))",
+        "code_pattern": "count(*) FILTER (NOT regexp_full_match(code_arrondissement, '751..'))",
+        "indicators_present": "count(*) FILTER (idx_accessibilite + idx_tension + idx_effort_social"
+                              " + idx_attractivite IS NULL)",
+        "attractiveness_centred": "CAST(coalesce(abs(avg(idx_attractivite)) >= 0.05, true) AS INT)",
+        "price_range": "count(*) FILTER (prix_m2 NOT BETWEEN 5000 AND 25000)"},
+    "(SELECT code_arrondissement, count(*) AS n FROM timeline WHERE code_arrondissement <> '75105' "
+    "GROUP BY ALL)": {
+        "timeline_areas_missing": "20 - count(DISTINCT code_arrondissement)",
+        "timeline_months": "count(*) FILTER (n <> 72)"},
+    "(SELECT DISTINCT category IN ('" + "', '".join(CATEGORIES) + "') AS known, category FROM counts)":
+        {"categories_missing": "6 - count(*) FILTER (known)",
+         "categories_unknown": "count(*) FILTER (NOT known)"}}
+
+
+@query("quality_checks", " UNION ALL ".join(
+    f"""SELECT unnest([{', '.join(f"'{c}'" for c in checks)}]) AS "check",
+        unnest([{', '.join(f'CAST({e} AS BIGINT)' for e in checks.values())}]) AS failures
+        FROM {source}""" for source, checks in _CHECKED.items()))
 def quality_checks(spark, sf):
+    """One area is left out of the timeline, which the checks have to notice."""
     facts, poi_facts = stage(S.monthly(spark, sf), "facts"), stage(S.counts(spark, sf), "facts")
-    return quality.quality_checks(
-        S.kpi(spark, sf, facts, poi_facts), gold.timeline_area(facts), poi_facts)
+    series = gold.timeline_area(facts.filter("code_arrondissement <> '75105'"))
+    return quality.quality_checks(S.kpi(spark, sf, facts, poi_facts), series, poi_facts)
