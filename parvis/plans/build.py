@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.constants import CITY_POI, NATIONAL_POI
+from parvis.functions.casts import to_iso_date
 from parvis.plans import gold, silver
 from parvis.sources import readers, schemas
 from parvis.sources.layout import (
-    INGESTION, create_or_replace, read_table, scan_all, scan_latest, stamp, table_path,
-    write_partitioned,
+    INGESTION, create_or_replace, read_latest, read_table, table_path, write_snapshot,
 )
+from parvis.staging import scratch_scope
 
 log = logging.getLogger(__name__)
 
@@ -25,6 +27,21 @@ GOLD = ["dim_arrondissement", "fact_transactions_arr_mois", "fact_logements_soci
         "kpi_arrondissement", "timeline_arrondissement"]
 
 
+def is_missing(error: Exception) -> bool:
+    """Whether a read failed because nothing was landed or written at its path."""
+    return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+
+
+def if_landed(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None where its path does not exist; other errors are raised."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if is_missing(error):
+            return None
+        raise
+
+
 class Build:
     """Paths and steps of one root folder for one ingestion day (``yyyy-MM-dd``)."""
 
@@ -35,25 +52,28 @@ class Build:
         return table_path(self.root, "landing", source)
 
     def latest(self, layer: str, source: str) -> DataFrame:
-        return scan_latest(read_table(self.spark, table_path(self.root, layer, source)))
+        return read_latest(self.spark, table_path(self.root, layer, source))
 
     # raw ---------------------------------------------------------------------------------
 
     def land(self, source: str) -> None:
         """One landed source to its raw table; the same day again replaces that day."""
         spark, path = self.spark, self.landed(source)
-        partitions = [INGESTION]
+        below = []
         if source == "dvf":
             # By sale year too, so that landing one year leaves the others of the day alone.
             df = readers.read_transactions(spark, path).withColumn(
-                "annee", F.left("date_mutation", F.lit(4)))
-            partitions.append("annee")
+                "annee", F.year(to_iso_date(F.col("date_mutation"))))
+            below.append("annee")
         elif source == "filosofi":
-            df = readers.income_fan_out(readers.read_income(spark, path))
+            income = if_landed(lambda: readers.read_income(spark, path))
+            df = readers.income_fan_out(
+                readers.income_fallback(spark) if income is None else income)
         elif source == "social_housing":
             df = readers.read_paged_records(spark, path)
         elif source == "air_quality":
-            df = readers.read_air(spark, path)
+            air = if_landed(lambda: readers.read_air(spark, path, lines=True))
+            df = readers.air_fallback(spark) if air is None else air
         elif source == "arrondissements":
             df = readers.read_polygons(spark, path)
         elif source in CITY_POI:
@@ -62,7 +82,7 @@ class Build:
             df = readers.read_poi_csv(spark, path, source)
         else:
             raise KeyError(f"unknown source {source!r}")
-        write_partitioned(stamp(df, self.day), table_path(self.root, "raw", source), *partitions)
+        write_snapshot(df, table_path(self.root, "raw", source), self.day, *below)
 
     # silver ------------------------------------------------------------------------------
 
@@ -71,8 +91,9 @@ class Build:
 
     def clean(self, source: str) -> None:
         if source == "dvf":
-            raw = read_table(self.spark, table_path(self.root, "raw", source))
-            raw = scan_all(raw) if self.all_snapshots else scan_latest(raw, "annee")
+            path = table_path(self.root, "raw", source)
+            raw = read_table(self.spark, path) if self.all_snapshots else read_latest(
+                self.spark, path, "annee")
             df = silver.silver_transactions(raw.drop(INGESTION, "annee"), self.areas())
         elif source == "poi":
             df = silver.silver_poi(self.spark, self._raw_poi(), self.areas(), self.day)
@@ -80,15 +101,16 @@ class Build:
             steps = {"filosofi": silver.silver_income, "social_housing": silver.social_units,
                      "air_quality": silver.silver_air, "arrondissements": silver.silver_areas}
             df = steps[source](self.latest("raw", source).drop(INGESTION))
-        write_partitioned(stamp(df, self.day), table_path(self.root, "silver", source), INGESTION)
+        write_snapshot(df.drop(INGESTION), table_path(self.root, "silver", source), self.day)
 
     def _raw_poi(self) -> list[DataFrame]:
         found = []
         for key in [*CITY_POI, *NATIONAL_POI]:
-            try:
-                found.append(self.latest("raw", key).drop(INGESTION))
-            except Exception as missing:
-                log.info("poi: %s skipped, %s", key, str(missing).splitlines()[0])
+            raw = if_landed(lambda key=key: self.latest("raw", key))
+            if raw is None:
+                log.info("poi: %s was not landed", key)
+            else:
+                found.append(raw.drop(INGESTION))
         return found
 
     # gold --------------------------------------------------------------------------------
@@ -96,57 +118,70 @@ class Build:
     def gold(self, name: str) -> DataFrame:
         return read_table(self.spark, table_path(self.root, "gold", name))
 
-    def publish(self) -> None:
-        """All gold tables; later ones read the earlier ones as written."""
-        put = lambda df, name: create_or_replace(df, table_path(self.root, "gold", name))
-        read = lambda source: self.latest("silver", source).drop(INGESTION)
-        put(read("arrondissements"), "dim_arrondissement")
-        put(gold.monthly_area_stats(read("dvf")), "fact_transactions_arr_mois")
-        put(read("social_housing"), "fact_logements_sociaux")
-        put(read("filosofi"), "fact_revenus_arr")
-        put(read("air_quality"), "fact_air_quality")
-        try:
-            poi = read("poi")
-            counts, points = gold.poi_counts(poi), gold.poi_table(poi)
-        except Exception as missing:
-            log.info("no points of interest, %s", str(missing).splitlines()[0])
-            counts = schemas.empty(self.spark, schemas.FACT_POI)
-            points = schemas.empty(self.spark, schemas.DIM_POI)
-        put(counts, "fact_poi_arr")
-        put(points, "dim_poi")
-        put(gold.kpi_area(
-            self.gold("dim_arrondissement"), self.gold("fact_transactions_arr_mois"),
-            self.gold("fact_logements_sociaux"), self.gold("fact_revenus_arr"),
-            self.gold("fact_air_quality"), self.gold("fact_poi_arr")), "kpi_arrondissement")
-        put(gold.timeline_area(self.gold("fact_transactions_arr_mois")),
-            "timeline_arrondissement")
-
-
-def build_layers(spark: SparkSession, root: str, day: str, layers: tuple[str, ...] = LAYERS,
-                 with_poi: bool = True, all_snapshots: bool = False) -> dict[str, str]:
+    def publish(self, tables: Sequence[str] = GOLD) -> None:
+        """The chosen gold tables, in order; later ones read the earlier ones as written."""
+        unknown = set(tables) - set(GOLD)
+        if unknown:
+            raise KeyError(f"unknown gold tables {sorted(unknown)}")
+        for name in GOLD:
+            if name in tables:
+                with scratch_scope(self.spark):
+                    create_or_replace(self._gold(name), table_path(self.root, "gold", name))
+
+    def _gold(self, name: str) -> DataFrame:
+        spark, read = self.spark, lambda source: self.latest("silver", source).drop(INGESTION)
+        copies = {"dim_arrondissement": "arrondissements", "fact_revenus_arr": "filosofi",
+                  "fact_logements_sociaux": "social_housing", "fact_air_quality": "air_quality"}
+        if name in copies:
+            return read(copies[name])
+        if name == "fact_transactions_arr_mois":
+            return gold.monthly_area_stats(read("dvf"))
+        if name in ("fact_poi_arr", "dim_poi"):
+            poi = if_landed(lambda: read("poi"))
+            if poi is None:
+                log.info("no points of interest")
+                return schemas.empty(
+                    spark, schemas.FACT_POI if name == "fact_poi_arr" else schemas.DIM_POI)
+            return gold.poi_counts(poi) if name == "fact_poi_arr" else gold.poi_table(poi)
+        if name == "kpi_arrondissement":
+            return gold.kpi_area(*[self.gold(part) for part in (
+                "dim_arrondissement", "fact_transactions_arr_mois", "fact_logements_sociaux",
+                "fact_revenus_arr", "fact_air_quality", "fact_poi_arr")])
+        return gold.timeline_area(self.gold("fact_transactions_arr_mois"))
+
+
+def build_layers(spark: SparkSession, root: str, day: str, layers: Sequence[str] = LAYERS,
+                 with_poi: bool = True, all_snapshots: bool = False,
+                 sources: Sequence[str] | None = None, tables: Sequence[str] | None = None
+                 ) -> dict[str, str]:
     """Run the chosen layers in order; the outcome per step is ``ok`` or the error.
 
-    A source that fails is logged and skipped. A failing gold layer is raised, as a partial
-    set of gold tables would be served as if it were complete.
+    ``sources`` limits landing and cleaning to these sources (``poi`` stands for all points of
+    interest when cleaning), ``tables`` the gold layer to these tables. A source that fails is
+    logged and skipped. A failing gold layer is raised, as a partial set of gold tables would be
+    served as if it were complete. What a step has staged is removed when it has ended.
     """
     build = Build(spark, root, day, all_snapshots)
     outcome: dict[str, str] = {}
+    poi = [*CITY_POI, *NATIONAL_POI] if with_poi else []
 
-    def attempt(label: str, step: Callable[[str], None], source: str) -> None:
-        try:
-            step(source)
-            outcome[label] = "ok"
-        except Exception as error:
-            log.error("%s failed: %s", label, error)
-            outcome[label] = str(error).splitlines()[0]
+    def attempt(layer: str, step: Callable[[str], None], names: list[str]) -> None:
+        for source in names:
+            if sources is not None and source not in sources:
+                continue
+            try:
+                with scratch_scope(spark):
+                    step(source)
+                outcome[f"{layer}/{source}"] = "ok"
+            except Exception as error:
+                log.error("%s/%s failed: %s", layer, source, error)
+                outcome[f"{layer}/{source}"] = str(error).splitlines()[0]
 
     if "raw" in layers:
-        for source in CORE + ([*CITY_POI, *NATIONAL_POI] if with_poi else []):
-            attempt(f"raw/{source}", build.land, source)
+        attempt("raw", build.land, CORE + poi)
     if "silver" in layers:
-        for source in CORE + (["poi"] if with_poi else []):
-            attempt(f"silver/{source}", build.clean, source)
+        attempt("silver", build.clean, CORE + (["poi"] if with_poi else []))
     if "gold" in layers:
-        build.publish()
+        build.publish(GOLD if tables is None else tables)
         outcome["gold"] = "ok"
     return outcome

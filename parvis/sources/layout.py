@@ -7,11 +7,15 @@ names belong to the facts, and a partition column of the same name would replace
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parvis.staging import hadoop_path
+
 INGESTION = "ingestion_date"
 
 
@@ -31,9 +35,40 @@ def write_partitioned(df: DataFrame, path: str, *partitions: str) -> None:
        .partitionBy(*partitions).parquet(path))
 
 
+def write_snapshot(df: DataFrame, path: str, day: str, *more: str) -> None:
+    """One day's rows, replacing that day; without rows the day is written as an empty file.
+
+    ``more`` are partition columns below the day.
+    """
+    write_partitioned(stamp(df, day), path, INGESTION, *more)
+    spark = df.sparkSession
+    if (day,) not in partitions(spark, path, INGESTION):
+        below = "/".join([f"{INGESTION}={day}", *[f"{c}={NO_VALUE}" for c in more]])
+        df.drop(*more).limit(0).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{path}/{below}")
+
+
 def create_or_replace(df: DataFrame, path: str) -> None:
-    """Full replacement of a table that is not an input of ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Full replacement of a table.
+
+    The new table is written beside the old one and takes its place when it is complete, so a
+    job that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    fresh, stale = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    fs, target = hadoop_path(spark, path)
+    new, old = (hadoop_path(spark, p)[1] for p in (fresh, stale))
+    try:
+        df.write.parquet(fresh)
+        if fs.exists(target) and not fs.rename(target, old):
+            raise OSError(f"cannot replace {path}")
+        if not fs.rename(new, target):
+            fs.rename(old, target)
+            raise OSError(f"cannot replace {path}")
+    finally:
+        fs.delete(new, True)
+        if fs.exists(target):
+            fs.delete(old, True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -43,24 +78,52 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         if INGESTION in df.columns else df
 
 
-def scan_all(df: DataFrame) -> DataFrame:
-    """Every snapshot; a source landed on two days counts twice."""
-    return df
+def partitions(spark: SparkSession, path: str, *columns: str) -> list[tuple[str, ...]]:
+    """The values of the partition columns of a table, from its folders' names alone."""
+    fs, pattern = hadoop_path(spark, "/".join([path.rstrip("/"), *[f"{c}=*" for c in columns]]))
+    found = []
+    for status in fs.globStatus(pattern) or []:
+        parts = status.getPath().toString().split("/")[-len(columns):]
+        found.append(tuple(unquote(p.partition("=")[2]) for p in parts))
+    return sorted(found)
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def scan_latest(df: DataFrame, *within: str, stamp: str = INGESTION) -> DataFrame:
+def read_latest(spark: SparkSession, path: str, *within: str, stamp: str = INGESTION) -> DataFrame:
     """The rows of the last snapshot, or of the last one for each value of ``within``.
 
-    Without ``within`` the date is a scalar subquery. With it, the few (value, last date)
-    pairs of these partition columns are read first and become a plain filter. Either way
-    only the partitions asked for are read.
+    ``within`` are partition columns below ``stamp``. The last days are read from the folders'
+    names, so the filter is constant and no other snapshot's file is opened.
     """
-    if not within:
-        return df.filter(F.col(stamp) == df.select(F.max(stamp)).scalar())
-    last = df.groupBy(*within).agg(F.max(stamp).alias(stamp)).collect()
-    wanted = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c]))
-                                          for c in (*within, stamp)]) for row in last]
-    return df.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    df = read_table(spark, path)
+    last: dict[tuple[str, ...], str] = {}
+    for day, *values in partitions(spark, path, stamp, *within):
+        last[tuple(values)] = max(day, last.get(tuple(values), day))
+    wanted = F.lit(False)
+    for values, day in last.items():
+        hit = F.col(stamp) == F.lit(day)
+        for c, v in zip(within, values, strict=True):
+            hit &= F.col(c).isNull() if v == NO_VALUE else F.col(c) == F.lit(v).cast(
+                df.schema[c].dataType)
+        wanted |= hit
+    return df.filter(wanted)
+
+
+def inventory(spark: SparkSession, root: str, layers: tuple[str, ...] = ("raw", "silver", "gold")
+              ) -> DataFrame:
+    """(layer, source, n_files, n_rows) of every table under ``root``."""
+    found = []
+    for layer in layers:
+        fs, pattern = hadoop_path(spark, f"{root.rstrip('/')}/{layer}/*")
+        for status in fs.globStatus(pattern) or []:
+            name = status.getPath().getName()
+            found.append(partition_inventory(read_table(spark, table_path(root, layer, name)), name)
+                         .select(F.lit(layer).alias("layer"), "*"))
+    if not found:
+        return spark.createDataFrame([], "layer string, source string, n_files long, n_rows long")
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 def partition_inventory(df: DataFrame, source: str) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from parvis.constants import AREA_CENTRES, AREA_CODES
 from parvis.plans import gold, quality, serving, silver
-from parvis.plans.build import GOLD, Build, build_layers
-from parvis.sources import readers
+from parvis.plans.build import GOLD, Build, build_layers, if_landed
+from parvis.session import scratch_dir
+from parvis.sources import layout, readers
 from test_sources import HEADER
 
 DAY = "2024-05-03"
@@ -108,7 +109,7 @@ def test_invariants(spark, built):
         build.gold("kpi_arrondissement"), build.gold("timeline_arrondissement"),
         build.gold("fact_poi_arr"))
     got = {r["check"]: r.failures for r in checks.collect()}
-    assert len(got) == 8 and set(got.values()) == {0}
+    assert len(got) == 10 and set(got.values()) == {0}
 
 
 def test_invariants_notice_damage(spark, built):
@@ -121,7 +122,8 @@ def test_invariants_notice_damage(spark, built):
     counts = build.gold("fact_poi_arr").filter("category <> 'sante'").unionByName(
         build.gold("fact_poi_arr").limit(1).withColumn("category", F.lit("autre")))
     got = {r["check"]: r.failures for r in quality.quality_checks(kpi, timeline, counts).collect()}
-    assert got == {"area_count": 1, "code_pattern": 19, "indicators_present": 19,
+    assert got == {"area_count": 1, "areas_missing": 20, "timeline_areas_missing": 0,
+                   "code_pattern": 19, "indicators_present": 19,
                    "attractiveness_centred": 1, "price_range": 19, "timeline_months": 20,
                    "categories_missing": 1, "categories_unknown": 1}
 
@@ -156,8 +158,8 @@ def test_served_pages(spark, built):
         serving.kpi_order("label; DROP TABLE kpi")
     with pytest.raises(ValueError):
         serving.unpivot_indicators(kpi, "prix_m2")
-    with pytest.raises(ValueError):
-        serving.filter_poi(build.gold("dim_poi"), limit=20_001)
+    many = spark.range(60_000).selectExpr("'transport' AS category", "'k1' AS subcategory", "id")
+    assert serving.filter_poi(many, "transport", "k1").count() == 60_000
 
 
 def test_geojson(spark, built):
@@ -227,6 +229,66 @@ def test_second_day(spark, tmp_path):
         assert build.latest("silver", "dvf").count() == expected
 
 
+def test_absent_areas_are_noticed(spark, built):
+    build = Build(spark, built[0], DAY)
+    gone = "code_arrondissement <> '75103'"
+    got = {r["check"]: r.failures for r in quality.quality_checks(
+        build.gold("kpi_arrondissement").filter(gone),
+        build.gold("timeline_arrondissement").filter(gone), build.gold("fact_poi_arr")).collect()}
+    assert (got["areas_missing"], got["timeline_areas_missing"]) == (1, 1)
+
+
+def test_absent_income_and_air_are_replaced_by_fixed_rows(spark, tmp_path):
+    build = Build(spark, str(tmp_path), DAY)
+    for source, n in (("filosofi", 20), ("air_quality", 4)):
+        build.land(source)
+        assert build.latest("raw", source).count() == n
+
+
+def test_paged_source_without_records(spark, tmp_path):
+    path = tmp_path / "landing" / "social_housing" / "p.json"
+    path.parent.mkdir(parents=True)
+    path.write_text('{"page":0,"results":[]}')
+    build = Build(spark, str(tmp_path), DAY)
+    build.land("social_housing")
+    build.clean("social_housing")
+    got = build.latest("silver", "social_housing")
+    assert got.count() == 0 and "nb_logements_finances" in got.columns
+
+
+def test_chosen_sources_and_tables(spark, built):
+    root = built[0]
+    outcome = build_layers(spark, root, DAY, sources=["filosofi"],
+                           tables=["fact_revenus_arr", "timeline_arrondissement"])
+    assert outcome == {"raw/filosofi": "ok", "silver/filosofi": "ok", "gold": "ok"}
+    with pytest.raises(KeyError):
+        Build(spark, root, DAY).publish(["other"])
+
+
+def test_nothing_staged_is_left_by_a_build(spark, tmp_path):
+    land(tmp_path, years=[2024], rows_per_month=1)
+    scratch = Path(scratch_dir(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
+    build_layers(spark, str(tmp_path), DAY, with_poi=False)
+    assert set(scratch.iterdir()) == before
+
+
+def test_other_errors_than_a_missing_path_are_raised(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError):
+        if_landed(lambda: 1 / 0)
+    assert if_landed(lambda: spark.read.parquet(f"{tmp_path}/none")) is None
+
+
+def test_a_failed_replacement_leaves_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    layout.create_or_replace(spark.range(3), path)
+    with pytest.raises(Exception):
+        layout.create_or_replace(spark.range(3).selectExpr("raise_error('x') AS id"), path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    layout.create_or_replace(spark.read.parquet(path).union(spark.range(1)), path)
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_gold_failure_is_raised(spark, tmp_path):
     with pytest.raises(Exception):
         build_layers(spark, str(tmp_path), DAY, with_poi=False)
