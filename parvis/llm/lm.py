@@ -40,22 +40,8 @@ def _signed(values) -> np.ndarray:
 
 def subword_ids(words: Words, tokenizer: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts of a slice, each closed by the end id, and where each text begins."""
-    _, sample, index = np.unique(words.hash, return_index=True, return_inverse=True)
-    pieces = encoder(tokenizer).encode(
-        [" " + words.word(i).decode(errors="replace") for i in sample.tolist()])
-    size = np.array([len(p) for p in pieces], int)
-    flat = np.concatenate([*pieces, np.empty(0, np.uint16)])
-    begin = np.cumsum(size) - size
-    length = size[index] if len(index) else np.empty(0, int)
-    total = np.concatenate([[0], np.cumsum(length)])
-    first = total[words.first] + np.arange(len(words.first))  # one end id per text before
-    ids = np.full(first[-1], END_ID, np.int64)
-    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-    place = np.arange(total[-1])
-    if len(index):
-        source = place - np.repeat(total[:-1] - begin[index], length)
-        ids[place + np.repeat(text, length)] = flat[source]
-    return ids, first
+    ids, first = encoder(tokenizer, "words").word_ids(words, END_ID)
+    return ids.astype(np.int64), first
 
 
 class Classes:

@@ -137,7 +137,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), tokenizer: str |
     them again, given the same input rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        column_ids = encoder(tokenizer).column_ids
         whole = min(limits.tokens, limits.loss)
         writer = _Writer(TaskContext.get().partitionId() << 36)
         rests: list[tuple] = []
@@ -156,16 +156,15 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), tokenizer: str |
             rests.clear()
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, ids in zip(part.column(0).to_pylist(),
-                                       encode(part.column(1).to_pylist()), strict=True):
-                    ids = np.append(ids, np.uint16(END_ID))
+            doc_ids = batch.column(0).to_pylist()
+            for i, j, every, offsets in column_ids(batch.column(1), END_ID):
+                for k in range(i, j):
+                    doc_id, ids = doc_ids[k], every[offsets[k - i]:offsets[k - i + 1]]
                     cut = len(ids) // whole * whole
                     for start in range(0, cut, whole):
                         writer.sequence([(doc_id, start, ids[start:start + whole], len(ids))])
                     if cut < len(ids):
-                        rests.append((doc_id, cut, ids[cut:], len(ids)))
+                        rests.append((doc_id, cut, ids[cut:].copy(), len(ids)))
                     if writer.tokens >= BATCH_TOKENS:
                         yield writer.batch()
                 if len(rests) >= WINDOW:

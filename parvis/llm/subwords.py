@@ -1,26 +1,53 @@
 """Token ids of texts by the ``tokenizers`` library, with each distinct piece encoded once.
 
-A byte-level tokenizer splits a text before it merges bytes: a single space goes with the word
-behind it, other white space stands alone. Cutting at these places changes no id, so the pieces
-of many texts are encoded once and the ids of a text are put together from them.
+A byte-level tokenizer splits a text before it merges bytes. Between a character that is no
+white space and a single space, or around a single line break, it always splits; cutting there
+changes no id. So texts are cut there, in the bytes of whole batches; the distinct pieces are
+encoded, kept by their 64-bit hashes, and the ids of the texts are put together from them.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
-
-# The characters of the Unicode property White_Space, which the tokenizer's splitter uses.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
-CACHED = 400_000  # distinct pieces kept by a worker; beyond that it starts anew
-LONG_PIECE = 64
+import pyarrow as pa
+
+from parvis.llm.words import Words, range_hashes, slices, text_bytes
+
+KNOWN = 3_000_000  # distinct pieces a worker keeps; beyond that it starts anew
+TOGETHER = 8192
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# First bytes of characters some of which are white space, and the bytes before their last one.
+_OPENS, _CLOSES = np.zeros(256, bool), np.zeros(256, bool)
+_OPENS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_CLOSES[[0xC2, 0x80, 0x81, 0x9A]] = True
+
+
+def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of the texts at ``offsets`` begin, and each text's first piece."""
+    n = len(data)
+    space = _SPACE[data]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    unclear = space | _OPENS[data]
+    after = np.append(unclear[1:], True) | edge[1:]  # the next byte may be white space
+    before = np.ones(n, bool)
+    before[1:] = space[:-1]
+    before[2:] |= (data[1:-1] >= 0x80) & _CLOSES[data[:-2]]
+    before |= edge[:-1]
+    alone = space & ~after & ~before
+    begins = edge[:-1] | (alone & ((data == 0x20) | (data == 0x0A)))
+    begins[1:] |= (alone & (data == 0x0A))[:-1]
+    start = np.flatnonzero(begins)
+    return start, np.searchsorted(start, offsets)
 
 
 class Encoder:
-    """``encode`` gives the ids of texts, exactly as the tokenizer gives them for whole texts."""
+    """Ids of texts, exactly as the tokenizer gives them for whole texts."""
 
     def __init__(self, path: str | None = None) -> None:
         if path is None:
@@ -28,47 +55,95 @@ class Encoder:
 
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.path = path
-        self.known: dict[str, np.ndarray] = {}
-        self.tokenizer = None
+        self._forget()
 
     def __reduce__(self):
         return Encoder, (self.path,)
 
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+    def _forget(self) -> None:
+        self.keys, self.begin = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.uint16)
+
+    @cached_property
+    def tokenizer(self):
         from tokenizers import Tokenizer
 
-        if self.tokenizer is None:
-            self.tokenizer = Tokenizer.from_file(self.path)
-        pieces = list(pieces)
-        found = {}
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at:at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False),
-                            strict=True):
-                found[p] = np.array(e.ids, np.uint16).tobytes()
-        return found
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text as ``uint16``; null and empty texts have none."""
-        cut = [_PIECES.findall(t) if t else [] for t in texts]
-        distinct = {p for pieces in cut for p in pieces}
-        fresh = distinct - self.known.keys()
-        if fresh:
-            if len(self.known) + len(fresh) > CACHED:
-                self.known = {}
-                fresh = distinct
-            learned = self._learn(fresh)
-            self.known.update((p, i) for p, i in learned.items() if len(p) <= LONG_PIECE)
-            if len(learned) and max(map(len, fresh)) > LONG_PIECE:
-                look = {**self.known, **learned}.__getitem__
-                return [np.frombuffer(b"".join(map(look, pieces)), np.uint16) for pieces in cut]
-        look = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(look, pieces)), np.uint16) for pieces in cut]
-
-
-_encoders: dict[str | None, Encoder] = {}
-
-
-def encoder(path: str | None = None) -> Encoder:
+        return Tokenizer.from_file(self.path)
+
+    def look_up(self, hashes: np.ndarray, piece: Callable[[int], str]
+                ) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size in ``flat`` of the ids of distinct pieces; ``piece(i)`` is the i-th."""
+        at = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == hashes
+        new = np.flatnonzero(~known)
+        if len(new):
+            if len(self.keys) + len(new) > KNOWN and len(self.keys):
+                self._forget()
+                return self.look_up(hashes, piece)
+            texts, sizes, parts = [piece(i) for i in new.tolist()], [], []
+            for a in range(0, len(texts), TOGETHER):
+                for e in self.tokenizer.encode_batch_fast(texts[a:a + TOGETHER],
+                                                          add_special_tokens=False):
+                    ids = e.ids
+                    sizes.append(len(ids))
+                    parts += ids
+            size = np.array(sizes, np.int64)
+            order = np.argsort(hashes[new])
+            place = at[new][order]
+            begin = len(self.flat) + np.cumsum(size) - size
+            self.keys = np.insert(self.keys, place, hashes[new][order])
+            self.begin = np.insert(self.begin, place, begin[order])
+            self.size = np.insert(self.size, place, size[order])
+            self.flat = np.concatenate([self.flat, np.array(parts, np.uint16)])
+            at = np.searchsorted(self.keys, hashes)
+        return self.begin[at], self.size[at]
+
+    def _gather(self, begin: np.ndarray, size: np.ndarray, index: np.ndarray,
+                first: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts made of pieces ``index``, each closed by ``end_id``, and their offsets."""
+        length = size[index]
+        total = np.concatenate([[0], np.cumsum(length)])
+        closed = 0 if end_id is None else 1
+        offsets = total[first] + closed * np.arange(len(first))
+        ids = np.full(offsets[-1], end_id or 0, np.uint16)
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        place = np.arange(total[-1])
+        source = place + np.repeat(begin[index] - total[:-1], length)
+        ids[place + closed * np.repeat(text, length)] = self.flat[source]
+        return ids, offsets
+
+    def column_ids(self, column: pa.Array, end_id: int | None = None
+                   ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``(i, j, ids, offsets)`` of the texts i to j of a string column; null is empty."""
+        data, offsets = text_bytes(column)
+        for i, j in slices(offsets):
+            part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            start, first = cut_pieces(part, at)
+            end = np.append(start[1:], len(part)) if len(start) else start
+            distinct, sample, index = np.unique(
+                range_hashes(part, start, end), return_index=True, return_inverse=True)
+            begin, size = self.look_up(distinct, lambda k: part[
+                start[sample[k]]:end[sample[k]]].tobytes().decode())
+            yield i, j, *self._gather(begin, size, index, first, end_id)
+
+    def word_ids(self, words: Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with a space before each, per text closed by ``end_id``, and offsets.
+
+        An encoder is used either for words or for columns, as both keep pieces by own hashes.
+        """
+        distinct, sample, index = np.unique(words.hash, return_index=True, return_inverse=True)
+        begin, size = self.look_up(
+            distinct, lambda k: " " + words.word(sample[k]).decode(errors="replace"))
+        return self._gather(begin, size, index, words.first, end_id)
+
+
+_encoders: dict[tuple[str | None, str], Encoder] = {}
+
+
+def encoder(path: str | None = None, use: str = "texts") -> Encoder:
     """This worker's encoder of a tokenizer file."""
-    return _encoders.setdefault(path, Encoder(path))
+    if (path, use) not in _encoders:
+        _encoders[path, use] = Encoder(path)
+    return _encoders[path, use]

@@ -85,7 +85,7 @@ def _blocks(tokenizer: str | None):
              pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        column_ids, shard = encoder(tokenizer).column_ids, TaskContext.get().partitionId()
         block, before, size, doc_ids, arrays = 0, 0, 0, [], []
 
         def done() -> pa.RecordBatch:
@@ -96,13 +96,12 @@ def _blocks(tokenizer: str | None):
                 [pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, ids in zip(part.column(0).to_pylist(),
-                                       encode(part.column(1).to_pylist()), strict=True):
-                    doc_ids.append(doc_id)
-                    arrays.append(np.append(ids, np.uint16(END_ID)))
-                    size += len(ids) + 1
+            own = batch.column(0).to_pylist()
+            for i, j, every, offsets in column_ids(batch.column(1), END_ID):
+                for k in range(i, j):
+                    doc_ids.append(own[k])
+                    arrays.append(every[offsets[k - i]:offsets[k - i + 1]])
+                    size += len(arrays[-1])
                     if size >= BLOCK_IDS:
                         yield done()
                         block, before = block + 1, before + size

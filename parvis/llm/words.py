@@ -74,6 +74,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hashes of byte ranges of ``data``."""
+    up, down = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(VALUES[data] * up[:len(data)], out=sums[1:])
+    hashes = (sums[end] - sums[start]) * down[start]
+    return mix(hashes + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def cut_words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SPACED) -> Words:
     """All words of class ``kind`` in texts that lie at ``offsets`` of ``data``."""
     data = LOWER[data]
@@ -88,11 +97,7 @@ def cut_words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SPACED)
     tails = offsets[(offsets > 0) & (offsets <= n)] - 1
     ends[tails] = inside[tails]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(VALUES[data] * up[:n], out=sums[1:])
-    hashes = (sums[end] - sums[start]) * down[start]
-    hashes = mix(hashes + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashes = range_hashes(data, start, end)
     return Words(data, start, end, hashes, np.searchsorted(start, offsets))
 
 
