@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from parvis.functions.geometry import inside_sql, parts_edges
 from parvis.staging import stage
 
-# The grid has about this many cells over all areas, and at least so many per area.
-TARGET_CELLS = 10_000
-CELLS_PER_AREA = 16
+# An area is cut into cells of its own size class: 16 to 64 of them along its longer side.
+CELLS_PER_SIDE = 16
+CLASS_FACTOR = 4.0
+SMALLEST_SIDE = 1e-6
 
 
-def grid_size(areas: DataFrame) -> float:
-    """Cell width in degrees, from the extent of the areas: one row reaches the driver."""
-    count, extent = _outlines(areas).agg(
-        F.count("*"), F.sum(F.expr("(x1 - x0) * (y1 - y0)"))).first()
-    return max(math.sqrt((extent or 0.0) / max(TARGET_CELLS, CELLS_PER_AREA * count)), 1e-6)
+def _levels(areas: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Outlines with the level of their size class, and the levels that occur."""
+    side = "greatest(x1 - x0, y1 - y0, " + repr(SMALLEST_SIDE) + "D)"
+    outlines = _outlines(areas).selectExpr(
+        "*", f"cast(floor(log({side}) / log({CLASS_FACTOR!r}D)) as int) as level")
+    found = outlines.select("level").distinct().orderBy("level").collect()
+    return outlines, [row["level"] for row in found]
 
 
 def _outlines(areas: DataFrame) -> DataFrame:
@@ -33,15 +36,15 @@ def _outlines(areas: DataFrame) -> DataFrame:
         "array_max(transform(edges, e -> e.y1)) as y1")
 
 
-def area_cells(areas: DataFrame, size: float) -> DataFrame:
+def area_cells(outlines: DataFrame, size: float) -> DataFrame:
     """(cx, cy, whole, candidates) for each grid cell that an area reaches.
 
-    ``whole`` is the code of a cell lying entirely in its first area: its points need no
+    ``whole`` is (ord, code) of a cell lying entirely in its first area: its points need no
     geometry at all. Other cells list the areas to test, in area order, each with only the
     edges that can matter to a point of the cell.
     """
     margin = size * 1e-6
-    near = _outlines(areas).selectExpr(
+    near = outlines.selectExpr(
         "*", f"explode(sequence(floor(x0 / {size!r}D), floor(x1 / {size!r}D))) as cx"
     ).selectExpr(
         "ord", "code", "edges", "cx",
@@ -68,7 +71,7 @@ def area_cells(areas: DataFrame, size: float) -> DataFrame:
         F.expr("array_sort(collect_list(struct(ord, code, full, edges))) as listed"),
     ).selectExpr(
         "cx", "cy",
-        "if(listed[0].full, listed[0].code, null) as whole",
+        "if(listed[0].full, struct(listed[0].ord as ord, listed[0].code as code), null) as whole",
         "if(listed[0].full, null, filter(listed, a -> stop is null or a.ord <= stop)) "
         "as candidates")
 
@@ -78,18 +81,32 @@ def spatial_join(points: DataFrame, areas: DataFrame, lon: str = "lon", lat: str
     """``points`` plus the code of the first area (by ``ord``) that strictly contains each.
 
     Every input row comes out once; a point in no area or without coordinates gets null.
-    ``areas`` has (ord, code, parts). The cell table is staged, so that the planner knows its
-    size and broadcasts it when small; the points are then never shuffled. When it is large,
-    both sides shuffle on the cell and crowded cells are split by the adaptive skew join.
+    ``areas`` has (ord, code, parts). Each size class of areas has a grid of its own, so a large
+    area does not fill the cells of small ones; a point looks up its cell in each. The cell
+    tables are staged, so that the planner knows their sizes and broadcasts them when small;
+    the points are then never shuffled. When one is large, both sides shuffle on the cell and
+    crowded cells are split by the adaptive skew join. With ``size`` all areas share one grid.
     """
-    size = size or grid_size(areas)
-    cells = stage(area_cells(areas, size), "area-cells").selectExpr(
-        "cx as _cx", "cy as _cy", "whole as _whole", "candidates as _candidates")
-    cell = lambda c: F.expr(f"if(isnan(`{c}`), null, floor(`{c}` / {size!r}D))")
-    located = points.withColumns({"_px": cell(lon), "_py": cell(lat)}).join(
-        cells, F.expr("_px = _cx and _py = _cy"), "left")
+    if size is None:
+        outlines, levels = _levels(areas)
+        grids = [(outlines.filter(F.col("level") == k), CLASS_FACTOR**k / CELLS_PER_SIDE)
+                 for k in levels]
+    else:
+        grids = [(_outlines(areas), size)]
     inside = inside_sql("a.edges", f"`{lon}`", f"`{lat}`")
-    return located.withColumn(code, F.expr(
-        "case when _whole is not null then _whole when _candidates is not null then "
-        f"get(filter(_candidates, a -> a.full or {inside}), 0).code end")
-    ).drop("_px", "_py", "_cx", "_cy", "_whole", "_candidates")
+    located, hits = points, []
+    for n, (outlines, width) in enumerate(grids):
+        cells = stage(area_cells(outlines, width), "area-cells").selectExpr(
+            f"cx as _cx{n}", f"cy as _cy{n}", f"whole as _whole{n}", f"candidates as _near{n}")
+        at = [F.expr(f"if(isnan(`{c}`), null, floor(`{c}` / {width!r}D))") for c in (lon, lat)]
+        located = located.withColumns({f"_px{n}": at[0], f"_py{n}": at[1]}).join(
+            cells, F.expr(f"_px{n} = _cx{n} and _py{n} = _cy{n}"), "left").drop(
+            f"_px{n}", f"_py{n}", f"_cx{n}", f"_cy{n}")
+        hits.append(F.expr(
+            f"case when _whole{n} is not null then _whole{n} when _near{n} is not null then "
+            f"get(transform(filter(_near{n}, a -> a.full or {inside}), "
+            "a -> struct(a.ord as ord, a.code as code)), 0) end"))
+    first = reduce(lambda a, b: F.least(a, b), hits) if hits else None
+    found = first["code"] if hits else F.lit(None).cast(areas.schema["code"].dataType)
+    return located.withColumn(code, found).drop(
+        *[f"_{kind}{n}" for n in range(len(grids)) for kind in ("whole", "near")])

@@ -15,7 +15,7 @@ from parvis.operators import paging as P
 from parvis.operators import rows as R
 from parvis.operators import validation as V
 from parvis.operators.quantiles import grouped_quantiles
-from parvis.operators.spatial import area_cells, grid_size, spatial_join
+from parvis.operators.spatial import CELLS_PER_SIDE, _levels, area_cells, spatial_join
 from parvis.plans.serving import kpi_order
 from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
 
@@ -241,12 +241,34 @@ def test_hand_set_points(spark):
         assert {(r.lon, r.lat): r.code_arrondissement for r in out} == cases
 
 
+def test_a_large_area_does_not_fill_the_cells_of_small_ones(spark):
+    square = lambda x, y, w: [[[[x, y], [x + w, y], [x + w, y + w], [x, y + w], [x, y]]]]
+    small = [square(float(i % 25), float(i // 25), 0.5) for i in range(500)]
+    shapes = [*small, square(-1.0, -1.0, 40.0)]
+    areas = area_frame(spark, shapes)
+    outlines, levels = _levels(areas)
+    most = max(area_cells(outlines.filter(F.col("level") == k), 4.0**k / CELLS_PER_SIDE)
+               .agg(F.max(F.size("candidates"))).first()[0] for k in levels)
+    assert len(levels) == 2 and most <= 4
+    rng = random.Random(3)
+    points = [(rng.uniform(-2, 42), rng.uniform(-2, 42)) for _ in range(400)] + \
+        [(i % 25 + 0.25, i // 25 + 0.25) for i in range(0, 500, 7)]
+    df = spark.createDataFrame(points, "lon double, lat double")
+    got = {(r.lon, r.lat): r.code_arrondissement for r in spatial_join(df, areas).collect()}
+    for (x, y), code in got.items():
+        assert code == next((f"c{j}" for j, s in enumerate(shapes) if contains(s, x, y)), None)
+    assert spatial_join(df, areas.filter("false")).filter("code_arrondissement IS NULL").count() \
+        == len(points)
+
+
 def test_inner_cells_need_no_geometry(spark):
     shapes = [[[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]]
     areas = area_frame(spark, shapes)
-    cells = area_cells(areas, grid_size(areas))
+    outlines, levels = _levels(areas)
+    assert levels == [0]
+    cells = area_cells(outlines, 1 / CELLS_PER_SIDE)
     whole = cells.filter("whole IS NOT NULL").count()
-    assert whole / cells.count() > 0.9
+    assert whole / cells.count() > 0.6
     assert cells.filter("(whole IS NULL) = (candidates IS NULL)").count() == 0
 
 
