@@ -93,13 +93,40 @@ def _sketches(size: int):
     return run
 
 
+SETS = "bucket long, low int, high int, node long, side int, shingles binary"
+BATCH_BYTES = 1 << 23
+
+
 def _sets(size: int):
+    """For each text its set, once for every group of its buckets."""
+    names = [c.split()[0] for c in SETS.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+
+        def done() -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
         for batch in batches:
-            sets = [s.tobytes() for _, _, words in word_slices(batch.column(1))
-                    for s in shingle_sets(words, size)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            sets = (s.tobytes() for _, _, words in word_slices(batch.column(1))
+                    for s in shingle_sets(words, size))
+            nodes = batch.column(0).to_pylist()
+            spread = mix(np.array(nodes, np.int64).view(np.uint64)).tolist()
+            for node, number, own, s in zip(nodes, spread, batch.column(2), sets, strict=True):
+                for bucket in own.as_py():
+                    chunks = -(-bucket["members"] // CHUNK)
+                    side = number % chunks
+                    for other in range(chunks):
+                        rows.append((bucket["bucket"], min(side, other), max(side, other), node,
+                                     side, s))
+                        held += len(s)
+                if held >= BATCH_BYTES:
+                    yield done()
+                    rows, held = [], 0
+        yield done()
     return run
 
 
@@ -151,8 +178,7 @@ def _links(threshold: int):
                 [pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            columns = (batch.column(k) for k in range(4))
-            for k, i, side, s in zip(*(c.to_pylist() for c in columns), strict=True):
+            for *k, i, side, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != key:
                     if len(ids) > 1:
                         yield done()
@@ -200,24 +226,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
         buckets.where(in_map(filled, F.col("bucket")))
         .join(shared.select("bucket", "members"), "bucket").distinct(), "members")
 
-    wanted = members.select("node").distinct()
-    known = bit_map(wanted.select(F.xxhash64("node").alias("key")))
-    near = rows.where(in_map(known, F.xxhash64("doc_id")))
-    texts = near.join(wanted, near.doc_id == wanted.node, "left_semi")
-    sets = texts.mapInArrow(_sets(shingle_words), "node long, shingles binary")
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    split = members.withColumns({
-        "chunks": chunks, "side": F.pmod(F.xxhash64("node"), chunks).cast("int")})
-    groups = split.select(
-        "node", "side", "bucket",
-        F.explode(F.sequence(F.lit(0), F.greatest(F.col("chunks") - 1, F.lit(0)))).alias("other"))
-    groups = groups.select(
-        F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other")).alias("group"),
-        "node", "side")
+    # At most BANDS buckets a document.
+    wanted = members.groupBy("node").agg(
+        F.collect_list(F.struct("bucket", "members")).alias("buckets"))
+    seen = bit_map(members.select(F.xxhash64("node").alias("key")))
+    texts = rows.where(in_map(seen, F.xxhash64("doc_id"))).join(
+        wanted, F.col("doc_id") == F.col("node")).select("node", "text", "buckets")
+    group = ["bucket", "low", "high"]
     links = stage(
-        groups.join(sets, "node").select("group", "node", "side", "shingles")
-        .repartition("group").sortWithinPartitions("group")
-        .mapInArrow(_links(threshold), "a long, b long"), "links")
+        texts.mapInArrow(_sets(shingle_words), SETS).repartition(*group)
+        .sortWithinPartitions(*group).mapInArrow(_links(threshold), "a long, b long"), "links")
 
     labels = connected_components(
         links.union(copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))))
