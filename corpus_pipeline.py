@@ -10,18 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.llm import decontaminate, minhash, packing, secrets, toxicity
-from parvis.llm.tables import read
+from parvis.llm.tables import read, ship
 from parvis.staging import new_scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network scores below one half."""
+    ship(spark)
     network = toxicity.train_network(docs, read(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, network)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    ship(spark)
     gone = minhash.near_duplicates(docs).where("not kept").select(
         F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs.doc_id == gone.gone, "left_anti")
@@ -36,11 +38,13 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark."""
+    ship(spark)
     return secrets.without_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 1024 token ids."""
+    ship(spark)
     pieces = packing.pack_documents(docs)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")

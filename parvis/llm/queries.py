@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.llm import (
     chat, decontaminate, licenses, lm, minhash, onebit, packing, secrets, tokenfile, toxicity)
-from parvis.llm.tables import read
+from parvis.llm.tables import read, ship
 from parvis.staging import new_scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,8 +18,13 @@ SQL: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,3 +24,21 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def partitions_for(rows: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / each))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package, wherever they run; once a session."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    handle, path = tempfile.mkstemp(prefix=f"{package.name}-", suffix=".zip")
+    os.close(handle)
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
