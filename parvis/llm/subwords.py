@@ -8,6 +8,7 @@ encoded, kept by their 64-bit hashes, and the ids of the texts are put together
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -16,8 +17,8 @@ import pyarrow as pa
 
 from parvis.llm.words import Words, range_hashes, slices, text_bytes
 
-KNOWN = 3_000_000  # distinct pieces a worker keeps; beyond that it starts anew
-TOGETHER = 8192
+KNOWN = 1_000_000  # distinct pieces a worker keeps; beyond that it starts anew
+TOGETHER = 2048
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -61,11 +62,12 @@ class Encoder:
         return Encoder, (self.path,)
 
     def _forget(self) -> None:
-        self.keys, self.begin = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.uint16)
+        self.keys, self.begin = np.empty(0, np.uint64), np.empty(0, np.uint32)
+        self.size, self.flat = np.empty(0, np.uint32), np.empty(0, np.uint16)
 
     @cached_property
     def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         return Tokenizer.from_file(self.path)
@@ -94,11 +96,11 @@ class Encoder:
             place = at[new][order]
             begin = len(self.flat) + np.cumsum(size) - size
             self.keys = np.insert(self.keys, place, hashes[new][order])
-            self.begin = np.insert(self.begin, place, begin[order])
-            self.size = np.insert(self.size, place, size[order])
+            self.begin = np.insert(self.begin, place, begin[order].astype(np.uint32))
+            self.size = np.insert(self.size, place, size[order].astype(np.uint32))
             self.flat = np.concatenate([self.flat, np.array(parts, np.uint16)])
             at = np.searchsorted(self.keys, hashes)
-        return self.begin[at], self.size[at]
+        return self.begin[at].astype(np.int64), self.size[at].astype(np.int64)
 
     def _gather(self, begin: np.ndarray, size: np.ndarray, index: np.ndarray,
                 first: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 1 << 21  # bytes of text hashed at once; a longer text is taken alone
+SLICE_BYTES = 1 << 19  # bytes of text hashed at once; a longer text is taken alone
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
