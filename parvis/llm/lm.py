@@ -166,7 +166,8 @@ def _scorer(tokenizer: str | None, classes: Classes, net: Attention, common: np.
                     score += np.bincount(of, (own * mask).sum(axis=1), j - i)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(i, j - i) for k in range(3)]
-                    + [pa.array(np.diff(words.first) + 1), pa.array(n_common), pa.array(log),
+                    + [pa.array(np.diff(words.first) + 1), pa.array(n_common),
+                       pa.array(log.astype(np.float64)),
                        pa.array(score / np.log(10)),
                        pa.array(rare, pa.list_(pa.int64())), pa.array(rare_n, pa.list_(pa.int32()))],
                     names=names)

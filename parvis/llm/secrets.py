@@ -135,8 +135,8 @@ def without_secrets(docs: DataFrame, mark: str = "<secret>", text_col: str = "te
                     rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; all other columns and rows stay.
 
-    Overlapping spans are replaced together. A null text stays null, and so does ``n_chars``;
-    where it was set, a column of that name is counted anew.
+    Overlapping spans are replaced together. A null text stays null. A column ``n_chars`` is
+    counted anew where it and the text are not null.
     """
     scanner = Scanner(rules)
     at = docs.columns.index(text_col)
@@ -161,6 +161,7 @@ def without_secrets(docs: DataFrame, mark: str = "<secret>", text_col: str = "te
 
     out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
+        fresh = F.length(text_col).cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(
-            F.col("n_chars").isNotNull(), F.length(text_col)).cast(docs.schema["n_chars"].dataType))
+            F.col("n_chars").isNotNull(), F.coalesce(fresh, "n_chars")))
     return out

@@ -32,7 +32,7 @@ def train_network(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC,
     """
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"),
                            F.col(label_col).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
+        F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
     order = F.xxhash64("doc_id"), F.col("doc_id")
     picked = None
     for label, most in ((1, toxic), (0, other)):
