@@ -11,6 +11,7 @@ import numpy as np
 
 WINDOW, STRIDE = 32, 24  # a window scores its last STRIDE places, the first of a text all
 CLASSES, WIDTH, INNER = 128, 16, 32
+LARGEST = np.float32(60)  # exponents beyond that are cut or shifted
 START = CLASSES  # the input before the first id
 
 
@@ -32,10 +33,11 @@ class Attention:
             "k": small(WIDTH, WIDTH), "v": small(WIDTH, WIDTH), "up": small(WIDTH, INNER),
             "down": zero(INNER, WIDTH), "out": zero(WIDTH, CLASSES),
             "next": zero(CLASSES + 1, CLASSES), "bias": np.log(unigram).astype(np.float32)}
+        self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self.hidden = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
-    def forward(self, ids: np.ndarray, keep: bool = False):
-        """Log probabilities of the classes at every place of windows ``ids`` of inputs."""
+    def forward(self, ids: np.ndarray):
+        """The classes' probabilities at every place of windows ``ids``, and what led to them."""
         p = self.p
         x = p["id"][ids] + p["at"]
         q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
@@ -50,21 +52,39 @@ class Attention:
         logits += p["next"][ids]
         logits += p["bias"]
         logits -= logits.max(axis=2, keepdims=True)
-        if keep:
-            chance = np.exp(logits)
-            chance /= chance.sum(axis=2, keepdims=True)
-            return chance, (x, q, k, v, weight, y, inner, z)
-        return logits
-
-    def score(self, ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Natural log probability of class ``wanted`` at every place."""
-        logits = self.forward(ids)
-        own = np.take_along_axis(logits, wanted[:, :, None], 2)[:, :, 0]
-        return own - np.log(np.exp(logits).sum(axis=2))
+        chance = np.exp(logits)
+        chance /= chance.sum(axis=2, keepdims=True)
+        return chance, (x, q, k, v, weight, y, inner, z)
+
+    def score(self, ids: np.ndarray, wanted: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """Natural log probability of class ``wanted`` at the places with ``mask``, in their order."""
+        p, n = self.p, len(ids)
+        x = p["id"].take(ids, axis=0)
+        x += p["at"]
+        shares = np.hstack([p["q"] * np.float32(WIDTH ** -0.5), p["k"], p["v"]])
+        q, k, v = np.split(x.reshape(-1, WIDTH) @ shares, 3, axis=1)
+        q, k, v = (a.reshape(n, WINDOW, WIDTH) for a in (q, k, v))
+        weight = q @ k.transpose(0, 2, 1)
+        np.minimum(weight, LARGEST, out=weight)
+        np.exp(weight, out=weight)
+        weight *= self.seen
+        mixed = weight @ v
+        mixed /= weight @ np.ones((WINDOW, 1), np.float32)
+        mixed += x
+        at = np.flatnonzero(mask)
+        y = mixed.reshape(-1, WIDTH).take(at, axis=0)
+        y += np.maximum(y @ p["up"], 0) @ p["down"]
+        logits = y @ p["out"]
+        logits += (p["next"] + p["bias"]).take(ids.ravel().take(at), axis=0)
+        if len(logits) and logits.max() > LARGEST:
+            logits -= logits.max(axis=1, keepdims=True)
+        own = logits.ravel().take(np.arange(len(at)) * CLASSES + wanted.ravel().take(at))
+        np.exp(logits, out=logits)
+        return own - np.log(logits @ np.ones(CLASSES, np.float32))
 
     def gradient(self, ids: np.ndarray, wanted: np.ndarray, mask: np.ndarray):
         """The gradient of the mean negative log likelihood over places with ``mask``."""
-        p, (chance, (x, q, k, v, weight, y, inner, z)) = self.p, self.forward(ids, keep=True)
+        p, (chance, (x, q, k, v, weight, y, inner, z)) = self.p, self.forward(ids)
         g = {name: np.zeros_like(value) for name, value in p.items()}
         np.put_along_axis(chance, wanted[:, :, None],
                           np.take_along_axis(chance, wanted[:, :, None], 2) - 1, 2)

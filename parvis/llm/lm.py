@@ -32,6 +32,7 @@ END_WORD = word_hash(" end")  # holds a space, so no word has it
 COMMON = 1 << 17
 SAMPLE_TEXTS, SAMPLE_STEPS = 256, 300
 SHARE, BATCH = 16, 64
+SCORED_TOGETHER = 128
 
 
 def _signed(values) -> np.ndarray:
@@ -59,21 +60,22 @@ class Classes:
 
 def batches_of(ids: np.ndarray, first: np.ndarray, classes: Classes, share: int = 1):
     """Windows ``(text, inputs, wanted, mask, places)`` of the texts of a slice, in batches."""
-    kinds = classes.of[ids]
-    before = np.concatenate([[START], kinds[:-1]]) if len(ids) else kinds
+    # What lies behind a text's end in its last window is masked, and nothing before sees it.
+    kinds = np.append(classes.of[ids], np.zeros(WINDOW, np.int64)).astype(np.int32)
+    before = np.append(np.int32(START), kinds[:-1])
     before[first[:-1]] = START
     text, start, scored = windows_of(np.diff(first))
     if share > 1:
         keep = start // STRIDE % share == 0
         text, start, scored = text[keep], start[keep], scored[keep]
-    for a in range(0, len(text), 512 if share == 1 else BATCH):
-        part = slice(a, a + (512 if share == 1 else BATCH))
-        place = first[:-1][text[part]][:, None] + start[part][:, None] + np.arange(WINDOW)
-        inside = place < first[1:][text[part]][:, None]
-        mask = inside & (np.arange(WINDOW) >= scored[part][:, None])
-        place = np.where(inside, place, 0)
-        yield (text[part], np.where(inside, before[place], START),
-               np.where(inside, kinds[place], 0), mask, place)
+    begin = (first[:-1][text] + start).astype(np.int32)
+    left = np.minimum(first[1:][text] - begin, WINDOW)
+    step, size = np.arange(WINDOW, dtype=np.int32), SCORED_TOGETHER if share == 1 else BATCH
+    for a in range(0, len(text), size):
+        part = slice(a, a + size)
+        place = begin[part, None] + step
+        mask = (step < left[part, None]) & (step >= scored[part, None])
+        yield text[part], before[place], kinds[place], mask, place
 
 
 def _counter(tokenizer: str | None):
@@ -162,8 +164,8 @@ def _scorer(tokenizer: str | None, classes: Classes, net: Attention, common: np.
                 ids, first = subword_ids(words, tokenizer)
                 score = np.zeros(j - i)
                 for of, inputs, wanted, mask, place in batches_of(ids, first, classes):
-                    own = net.score(inputs, wanted) + classes.inner[ids[place]]
-                    score += np.bincount(of, (own * mask).sum(axis=1), j - i)
+                    own = net.score(inputs, wanted, mask) + classes.inner[ids[place[mask]]]
+                    score += np.bincount(np.repeat(of, mask.sum(axis=1)), own, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(i, j - i) for k in range(3)]
                     + [pa.array(np.diff(words.first) + 1), pa.array(n_common),
@@ -179,7 +181,8 @@ def score_texts(docs: DataFrame, held_out, tokenizer: str | None = None,
     """One row per text: counts of tokens, the score by word counts and the model's, both log10.
 
     Learned from rows whose ``held_out(doc_id)`` is false. A null text is empty and has the end
-    token only; a null id is not held out. Rows that are alike get the same scores. Without
+    token only; a null id is not held out. Rows that are alike get the same
+    scores, up to rounding. Without
     training texts all counts are 0, and the base score of any token is -log10(1) = 0.
     """
     rows = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from parvis.llm.words import Words, range_hashes, slices, text_bytes
 
-KNOWN = 1_000_000  # distinct pieces a worker keeps; beyond that it starts anew
+KNOWN = {"texts": 1_000_000, "words": 3_000_000}  # pieces a worker keeps; then it starts anew
 TOGETHER = 2048
 
 _SPACE = np.zeros(256, bool)
@@ -50,16 +50,16 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 class Encoder:
     """Ids of texts, exactly as the tokenizer gives them for whole texts."""
 
-    def __init__(self, path: str | None = None) -> None:
+    def __init__(self, path: str | None = None, known: int = KNOWN["texts"]) -> None:
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path("byte_bpe_50k.json")
-        self.path = path
+        self.path, self.known = path, known
         self._forget()
 
     def __reduce__(self):
-        return Encoder, (self.path,)
+        return Encoder, (self.path, self.known)
 
     def _forget(self) -> None:
         self.keys, self.begin = np.empty(0, np.uint64), np.empty(0, np.uint32)
@@ -81,7 +81,7 @@ class Encoder:
             known = self.keys[np.minimum(at, len(self.keys) - 1)] == hashes
         new = np.flatnonzero(~known)
         if len(new):
-            if len(self.keys) + len(new) > KNOWN and len(self.keys):
+            if len(self.keys) + len(new) > self.known and len(self.keys):
                 self._forget()
                 return self.look_up(hashes, piece)
             texts, sizes, parts = [piece(i) for i in new.tolist()], [], []
@@ -147,5 +147,5 @@ _encoders: dict[tuple[str | None, str], Encoder] = {}
 def encoder(path: str | None = None, use: str = "texts") -> Encoder:
     """This worker's encoder of a tokenizer file."""
     if (path, use) not in _encoders:
-        _encoders[path, use] = Encoder(path)
+        _encoders[path, use] = Encoder(path, KNOWN[use])
     return _encoders[path, use]
