@@ -23,6 +23,15 @@ def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, number * STRIDE, np.where(number > 0, WINDOW - STRIDE, 0)
 
 
+def _by_id(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sums of ``rows`` with the same id, for every id up to START."""
+    order = np.argsort(ids, kind="stable")
+    own, first = np.unique(ids[order], return_index=True)
+    out = np.zeros((START + 1, rows.shape[1]), rows.dtype)
+    out[own] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 class Attention:
     def __init__(self, unigram: np.ndarray, seed: int = 3) -> None:
         rng = np.random.default_rng(seed)
@@ -36,8 +45,8 @@ class Attention:
         self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self.hidden = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
-    def forward(self, ids: np.ndarray):
-        """The classes' probabilities at every place of windows ``ids``, and what led to them."""
+    def layers(self, ids: np.ndarray):
+        """What the layers below the classes make of windows ``ids``."""
         p = self.p
         x = p["id"][ids] + p["at"]
         q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
@@ -47,14 +56,21 @@ class Attention:
         weight /= weight.sum(axis=2, keepdims=True)
         y = x + weight @ v
         inner = np.maximum(y @ p["up"], 0)
-        z = y + inner @ p["down"]
-        logits = z @ p["out"]
-        logits += p["next"][ids]
-        logits += p["bias"]
-        logits -= logits.max(axis=2, keepdims=True)
-        chance = np.exp(logits)
-        chance /= chance.sum(axis=2, keepdims=True)
-        return chance, (x, q, k, v, weight, y, inner, z)
+        return x, q, k, v, weight, y, inner, y + inner @ p["down"]
+
+    def chances(self, z: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The classes' probabilities at places with ids ``ids``, of which the layers made ``z``."""
+        logits = z @ self.p["out"]
+        logits += (self.p["next"] + self.p["bias"]).take(ids, axis=0)
+        logits -= logits.max(axis=-1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=-1, keepdims=True)
+        return logits
+
+    def forward(self, ids: np.ndarray):
+        """The classes' probabilities at every place of windows ``ids``, and what led to them."""
+        inside = self.layers(ids)
+        return self.chances(inside[-1], ids), inside
 
     def score(self, ids: np.ndarray, wanted: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """Natural log probability of class ``wanted`` at the places with ``mask``, in their order."""
@@ -84,17 +100,21 @@ class Attention:
 
     def gradient(self, ids: np.ndarray, wanted: np.ndarray, mask: np.ndarray):
         """The gradient of the mean negative log likelihood over places with ``mask``."""
-        p, (chance, (x, q, k, v, weight, y, inner, z)) = self.p, self.forward(ids)
+        p, (x, q, k, v, weight, y, inner, z) = self.p, self.layers(ids)
         g = {name: np.zeros_like(value) for name, value in p.items()}
-        np.put_along_axis(chance, wanted[:, :, None],
-                          np.take_along_axis(chance, wanted[:, :, None], 2) - 1, 2)
-        d = chance * (mask / max(mask.sum(), 1))[:, :, None]
-        d = d.astype(np.float32)
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        g["bias"] = flat(d).sum(axis=0)
-        np.add.at(g["next"], ids.ravel(), flat(d))
-        g["out"] = flat(z).T @ flat(d)
-        dz = d @ p["out"].T
+        at = np.flatnonzero(mask)
+        if not len(at):
+            return g
+        own, rows = ids.ravel()[at], flat(z)[at]
+        d = self.chances(rows, own)
+        d[np.arange(len(at)), wanted.ravel()[at]] -= 1
+        d /= np.float32(len(at))
+        g["bias"] = d.sum(axis=0)
+        g["next"] = _by_id(own, d)
+        g["out"] = rows.T @ d
+        dz = np.zeros_like(z)
+        flat(dz)[at] = d @ p["out"].T
         g["down"] = flat(inner).T @ flat(dz)
         dinner = (dz @ p["down"].T) * (inner > 0)
         g["up"] = flat(y).T @ flat(dinner)
@@ -108,7 +128,7 @@ class Attention:
             g[name] = flat(x).T @ flat(part)
         dx = dy + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
         g["at"] = dx.sum(axis=0)
-        np.add.at(g["id"], ids.ravel(), flat(dx))
+        g["id"] = _by_id(ids.ravel(), flat(dx))
         return g
 
     def flat(self) -> np.ndarray:

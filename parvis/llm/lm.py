@@ -2,8 +2,8 @@
 
 1. One pass over the training texts counts words (by 64-bit hash) and subword ids.
 2. The network of :mod:`parvis.llm.attention` is first fitted on a bounded sample of training
-   texts; then every partition of the training texts goes on from there with one of every
-   ``SHARE`` windows of each text, and the results are averaged by the windows they have seen.
+   texts; then every partition of the training texts goes on from there with every window of
+   each text, and the results are averaged by the windows they have seen.
 3. One pass over all texts scores every subword id once, in windows that overlap. The counts of
    the ``COMMON`` most frequent words are at hand there; rarer words are joined with theirs.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parvis.llm.attention import CLASSES, START, STRIDE, WINDOW, Adam, Attention, windows_of
+from parvis.llm.attention import CLASSES, START, WINDOW, Adam, Attention, windows_of
 from parvis.llm.subwords import encoder
 from parvis.llm.tables import id_text
 from parvis.llm.words import Words, word_hash, word_slices
@@ -31,8 +31,7 @@ END_ID = IDS - 1
 END_WORD = word_hash(" end")  # holds a space, so no word has it
 COMMON = 1 << 17
 SAMPLE_TEXTS, SAMPLE_STEPS = 256, 300
-SHARE, BATCH = 16, 64
-SCORED_TOGETHER = 128
+BATCH, SCORED_TOGETHER = 64, 128
 
 
 def _signed(values) -> np.ndarray:
@@ -58,19 +57,17 @@ class Classes:
         self.unigram /= self.unigram.sum()
 
 
-def batches_of(ids: np.ndarray, first: np.ndarray, classes: Classes, share: int = 1):
+def batches_of(ids: np.ndarray, first: np.ndarray, classes: Classes,
+               size: int = SCORED_TOGETHER):
     """Windows ``(text, inputs, wanted, mask, places)`` of the texts of a slice, in batches."""
     # What lies behind a text's end in its last window is masked, and nothing before sees it.
     kinds = np.append(classes.of[ids], np.zeros(WINDOW, np.int64)).astype(np.int32)
     before = np.append(np.int32(START), kinds[:-1])
     before[first[:-1]] = START
     text, start, scored = windows_of(np.diff(first))
-    if share > 1:
-        keep = start // STRIDE % share == 0
-        text, start, scored = text[keep], start[keep], scored[keep]
     begin = (first[:-1][text] + start).astype(np.int32)
     left = np.minimum(first[1:][text] - begin, WINDOW)
-    step, size = np.arange(WINDOW, dtype=np.int32), SCORED_TOGETHER if share == 1 else BATCH
+    step = np.arange(WINDOW, dtype=np.int32)
     for a in range(0, len(text), size):
         part = slice(a, a + size)
         place = begin[part, None] + step
@@ -110,7 +107,7 @@ def _refine(tokenizer: str | None, classes: Classes, weights: np.ndarray):
         for batch in batches:
             for _, _, words in word_slices(batch.column(1)):
                 ids, first = subword_ids(words, tokenizer)
-                for _, inputs, wanted, mask, _ in batches_of(ids, first, classes, SHARE):
+                for _, inputs, wanted, mask, _ in batches_of(ids, first, classes, BATCH):
                     adam.learn(inputs, wanted, mask)
                     seen += len(inputs)
         values = np.append(net.flat().astype(np.float64) * seen, seen)
@@ -127,10 +124,12 @@ def fit(train: DataFrame, tokenizer: str | None, classes: Classes) -> Attention:
     texts, adam = [r["text"] for r in few.collect()], Adam(net, 0.02)
     windows = []
     for _, _, words in word_slices(pa.array(texts, pa.string())):
-        windows += list(batches_of(*subword_ids(words, tokenizer), classes, 2))
-    for step in range(SAMPLE_STEPS if windows else 0):
-        adam.rate = 0.02 * min(1, 1.5 - step / SAMPLE_STEPS)
-        _, inputs, wanted, mask, _ = windows[step * 7919 % len(windows)]
+        windows += list(batches_of(*subword_ids(words, tokenizer), classes, BATCH))
+    order = np.random.default_rng(3).permutation(len(windows))
+    steps = max(SAMPLE_STEPS, len(windows)) if windows else 0
+    for step in range(steps):
+        adam.rate = 0.02 * min(1, 1.5 - step / steps)
+        _, inputs, wanted, mask, _ = windows[order[step % len(windows)]]
         adam.learn(inputs, wanted, mask)
     start = net.flat()
     parts = train.mapInArrow(_refine(tokenizer, classes, start), "at int, value double")

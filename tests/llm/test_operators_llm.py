@@ -226,6 +226,38 @@ def test_every_id_is_scored_once():
     assert sorted(places.tolist()) == list(range(1000))
 
 
+def test_every_window_is_learned_from(spark, documents, monkeypatch):
+    texts = [" ".join(f"w{k % 90}" for k in range(n)) for n in (0, 5, 40, 300, 2000)]
+    classes = lm.Classes(np.ones(lm.IDS))
+    learned = []
+
+    class Recorder:
+        def __init__(self, net, rate):
+            self.rate = rate
+
+        def learn(self, inputs, wanted, mask):
+            learned.append(wanted[mask])
+
+    monkeypatch.setattr(lm, "Adam", Recorder)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    weights = lm.Attention(classes.unigram).flat()
+    out, = lm._refine(None, classes, weights)(iter([batch]))
+    ids = []
+    for _, _, words in lm.word_slices(batch.column(1)):
+        ids.append(lm.subword_ids(words, None))
+    wanted = np.concatenate([classes.of[i] for i, _ in ids])
+    windows = sum(len(lm.windows_of(np.diff(first))[0]) for _, first in ids)
+    assert out.column(1)[-1].as_py() == windows
+    np.testing.assert_array_equal(np.concatenate(learned), wanted)
+    learned.clear()
+    train = spark.createDataFrame(list(documents.items())[:30], "doc_id long, text string")
+    lm.fit(train, None, classes)  # the workers have the true Adam: these are the first fit's
+    first = sum(len(lm.subword_ids(w, None)[0]) for _, _, w in lm.word_slices(
+        pa.array([t for _, t in list(documents.items())[:30]])))
+    assert sum(map(len, learned)) >= first
+
+
 def test_scores_of_odd_rows(odd, none):
     held = lambda c: toxicity.held_out(c, 7, 2)
     got = lm.score_texts(odd, held).collect()
