@@ -8,6 +8,7 @@ place of the turn's text is found by rendering the turn with two other texts.
 
 Long conversations are rendered in windows, so that their cost stays linear. A window is left
 for a shorter one only where both add the same for the last turns; otherwise it goes on growing.
+What the windows give is held against the whole conversation, rendered once.
 """
 
 from __future__ import annotations
@@ -117,7 +118,12 @@ def render(template: Template, turns: list[Turn]
                 same.append(more[1])
             if same == recent:
                 base, before = k + 1 - 2 * OVERLAP, text
-    return "".join(parts), spans
+    text = "".join(parts)
+    if base:  # the windows show only the last turns: the whole text decides
+        whole = template(turns)
+        if whole != text:
+            return whole, None
+    return text, spans
 
 
 FORMATTED = ("conv_id long, formatted string, rewrites boolean, "

@@ -307,6 +307,18 @@ def test_rewriting_templates_are_detected():
     assert (text, spans) == ("ba", None)
 
 
+@pytest.mark.parametrize("n", [150, 250, 500])
+def test_late_rewriting_is_detected(n):
+    turns = [("user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(n)]
+
+    def last_200(turns):
+        return chat.marked_turns(turns[-200:])
+
+    text, spans = chat.render(last_200, turns)
+    assert text == last_200(turns)
+    assert (spans is None) == (n > 200)
+
+
 def test_odd_conversations(spark):
     df = spark.createDataFrame(
         [(1, 0, None, None), (1, 0, "tool", "\\[<s>"), (None, 1, "user", "x"), (2, None, "user", "")],
