@@ -132,12 +132,15 @@ def _block_search(ids: np.ndarray, queries: np.ndarray, centre: np.ndarray, k: i
                                      axis=0).T
         vectors = vectors[first]
         codes, out = Codes(vectors, centre, turn), []
+        # Rows of one id lie side by side; the limit is taken over ids, at their smallest bounds.
+        starts = np.flatnonzero(np.append(True, block_ids[1:] != block_ids[:-1]))
         for a in range(0, len(ids), QUERY_BLOCK):
             low, high = codes.bounds(turned[a:a + QUERY_BLOCK])
             same = block_ids[None, :] == ids[a:a + QUERY_BLOCK, None]
             high[same], low[same] = np.inf, np.inf
-            most = min(k, len(block_ids))
-            limit = np.partition(high, most - 1, axis=1)[:, most - 1]
+            most = min(k, len(starts))
+            each = np.minimum.reduceat(high, starts, axis=1)
+            limit = np.partition(each, most - 1, axis=1)[:, most - 1]
             for q, near in enumerate((low <= limit[:, None]) & ~same):
                 at = np.flatnonzero(near)
                 exact = np.sqrt(((vectors[at] - queries[a + q]) ** 2).sum(axis=1))

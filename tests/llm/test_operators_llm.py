@@ -424,6 +424,19 @@ def test_nearest_recall(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_rows_of_one_id_are_one_candidate(spark):
+    rng = np.random.default_rng(8)
+    near = rng.normal(0, 1, 32)
+    rows = [(0, near.tolist())] + [(1, (near + 0.001).tolist())] * 20
+    rows += [(i, (near + rng.normal(0, 2, 32)).tolist()) for i in range(2, 400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = onebit.nearest(df, lambda i: i == 0).orderBy("rank").collect()
+    far = {}
+    for i, v in rows[1:]:
+        far[i] = min(far.get(i, np.inf), float(np.linalg.norm(np.array(v) - near)))
+    assert [r["vec_id"] for r in got] == sorted(far, key=far.get)[:10]
+
+
 def test_nearest_with_ties_waves_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(onebit, "WAVE", 2)
     rng = np.random.default_rng(6)
