@@ -39,6 +39,16 @@ class Rule:
 _ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
            r"""([A-Za-z0-9+/_.=-]+))""")
 
+# A private key: its headers and base64 text up to the END line. Without one, its base64 words,
+# the last of which may be short. Line breaks may be written as \\n.
+_GAP = r"(?:\s|\\[nr])"
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:(?:" + _GAP + r"++[A-Za-z][A-Za-z0-9-]*+:(?:(?!\\n)[^\n])*+)*+"
+        r"(?:(?:[A-Za-z0-9+/=]|" + _GAP + r")*+-----END [A-Z ]*PRIVATE KEY-----"
+        r"|(?:" + _GAP + r"++[A-Za-z0-9+/]{16,}+={0,2}+(?![^\s\\]))++"
+        r"(?:" + _GAP + r"++(?:[A-Za-z0-9+/]++={1,2}+"
+        r"|(?<=[\nnr])[A-Za-z0-9+/]++(?=[\r\n\\]|\Z)))?+))?+")
+
 # The first three rules are given, the others follow public key formats.
 RULES = (
     Rule("assign", _ASSIGN, _ASSIGN, value=2, least=6),
@@ -50,8 +60,7 @@ RULES = (
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]", r"[rs]k_live_[A-Za-z0-9]+", length=9, least=24),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]",
          r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", length=4, least=32),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
-         r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", _PEM),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
