@@ -18,7 +18,10 @@ from parvis.llm.bitmap import bit_map, in_map
 from parvis.staging import stage
 
 MASKS = ("11011", "1101011", "11101101")
-LEAST = min(map(len, MASKS))
+# For items of so many words, what MASKS would miss at the threshold.
+SHORT_MASKS = {5: ("1111", "10111", "11101"), 6: ("1111",), 10: ("1111001111",)}
+ALL_MASKS = tuple(dict.fromkeys(MASKS + sum(SHORT_MASKS.values(), ())))
+LEAST = 5  # words of an item
 WINDOW = 20
 THRESHOLD = 80
 SEPARATORS = r"[^\p{L}\p{N}]+"
@@ -30,16 +33,20 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, *keep: str) -> DataFrame:
-    """``keep``, the place and the hash of every mask at every place of ``h``."""
-    size = F.size("h")
-    at = F.explode(F.when(size >= LEAST, F.sequence(F.lit(0), size - LEAST)))
-    placed = rows.where(size >= LEAST).select(*keep, "h", at.alias("place"))
+def _seeds(rows: DataFrame, masks: dict[str, list[int]], *keep: str) -> DataFrame:
+    """``keep``, the place and the hash of every mask at every place of ``h``.
+
+    ``masks`` gives the sizes of ``h`` that a mask is for; all if it gives none.
+    """
+    size, least = F.size("h"), min(map(len, masks))
+    at = F.explode(F.when(size >= least, F.sequence(F.lit(0), size - least)))
+    placed = rows.where(size >= least).select(*keep, "h", at.alias("place"))
     keys = []
-    for number, mask in enumerate(MASKS):
+    for mask, sizes in masks.items():
         seen = [F.get("h", F.col("place") + k) for k, bit in enumerate(mask) if bit == "1"]
-        key = F.xxhash64(F.lit(number), *seen)
-        keys.append(F.when(F.col("place") + len(mask) <= F.size("h"), key))
+        key = F.xxhash64(F.lit(ALL_MASKS.index(mask)), *seen)
+        fits = F.col("place") + len(mask) <= F.size("h")
+        keys.append(F.when(fits & F.size("h").isin(sizes) if sizes else fits, key))
     return placed.select(*keep, "place", F.explode(F.array(*keys)).alias("key")).where(
         "key is not null")
 
@@ -62,9 +69,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                          word_hashes(F.col(item_text).cast("string")).alias("h"))
         .where(F.col("item_id").isNotNull() & (F.size("h") >= LEAST)).distinct(), "items")
-    keys = stage(_seeds(items, "item_id").withColumnRenamed("place", "item_place").distinct(),
+    short = [r["n"] for r in items.select(F.size("h").alias("n")).where(
+        F.col("n").isin(list(SHORT_MASKS))).distinct().collect()]
+    masks: dict[str, list[int]] = {m: [] for m in MASKS}
+    for n in sorted(short):
+        for m in SHORT_MASKS[n]:
+            masks.setdefault(m, []).append(n)
+    keys = stage(_seeds(items, masks, "item_id").withColumnRenamed("place", "item_place").distinct(),
                  "seeds")
-    passed = _seeds(texts, "doc_id").where(in_map(bit_map(keys), F.col("key")))
+    passed = _seeds(texts, {m: [] for m in masks}, "doc_id").where(in_map(bit_map(keys), F.col("key")))
     found = stage(
         passed.join(keys, "key")
         .select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("doc_start"))
