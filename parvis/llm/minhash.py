@@ -211,9 +211,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
     copies = stage(
         known.select("doc_id", "digest", F.pmod("doc_id", F.lit(SALTS)).cast("int").alias("salt"))
         .join(spread, ["digest", "salt"]).where("doc_id <> node")
-        .select("doc_id", "node").distinct(), "copies")
+        .select("doc_id", "digest", "node").distinct(), "copies")
 
-    single = known.select("doc_id", "bands").join(copies, "doc_id", "left_anti")
+    # By text too: another text of the same id has links of its own.
+    single = known.select("doc_id", "digest", "bands").join(
+        copies, ["doc_id", "digest"], "left_anti")
     buckets = single.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
     shared = stage(
         buckets.groupBy("bucket")
