@@ -150,6 +150,36 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
         _documents, "doc_id long, shard int, start_in_shard long, n_tokens long, ids binary")
 
 
+def _chosen(doc_ids: frozenset[int]):
+    names = ["doc_id", "shard", "start_in_shard", "n_tokens", "ids"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ends = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"],
+                                 row["samples"])
+                ids = np.frombuffer(row["ids"], "<u2")
+                for i, own in enumerate(row["doc_ids"]):
+                    if own in doc_ids:
+                        a, b = ends.select(i - 1) if i else 0, ends.select(i)
+                        value = (own, row["shard"], row["ids_before"] + a, b - a,
+                                 ids[a:b].astype("<u4").tobytes())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([v], t) for v, t in zip(value, kinds, strict=True)],
+                            names=names)
+    return run
+
+
+def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """The rows of :func:`read_token_file` for a few ids; no other offsets are decoded."""
+    wanted = F.array(*[F.lit(i).cast("long") for i in doc_ids]).cast("array<long>")
+    blocks = spark.read.schema(BLOCKS).parquet(path).where(F.arrays_overlap("doc_ids", wanted))
+    return blocks.mapInArrow(
+        _chosen(frozenset(doc_ids)),
+        "doc_id long, shard int, start_in_shard long, n_tokens long, ids binary")
+
+
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:
     """``(shard, shard_start)``: ids in all shards before; a row per written partition."""
     totals = spark.read.schema(BLOCKS).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n"))
