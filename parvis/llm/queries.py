@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.llm import (
-    chat, decontaminate, licenses, lm, minhash, onebit, packing, secrets, tokenfile, toxicity)
+    bpe, chat, decontaminate, licenses, lm, minhash, negatives, onebit, packing, repair, secrets,
+    tokenfile, toxicity)
 from parvis.llm.tables import read, ship
 from parvis.staging import new_scratch_path
 
@@ -97,3 +98,40 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found.select("doc_id", "shard", "start_in_shard", "n_tokens", "ids_crc32")
     return tokenfile.document_starts(spark, path, found).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    fixed = repair.repair_conversations(repair.damage(rows))
+    all_ids = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    report = fixed.report().withColumnRenamed("conv_id", "_conv")
+    digests = fixed.text_digests().withColumnRenamed("conv_id", "_said")
+    found = all_ids.join(report, F.expr("conv_id <=> _conv"), "left").join(
+        digests, F.expr("conv_id <=> _said"), "left")
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in (
+            "gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias(
+            "repaired_sha256"))
+
+
+@query
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_texts(read(spark, sf_dir, "documents"), decoded=True)
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(digits.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
+            F.col("label")).alias("label"),
+        F.col("embedding").cast("array<double>").alias("embedding"))
+    return negatives.hard_negatives(rows, lambda vec_id: vec_id % 100 == 0)
