@@ -30,12 +30,17 @@ from parvis.llm.subwords import cut_pieces
 from parvis.llm.tables import id_text
 from parvis.llm.words import slices, text_bytes
 
-HASHED, APART = 32, 64  # bytes in the rolling hash; a cut is the least hash this far around it
+HASHED, APART = 32, 128  # bytes in the rolling hash; a cut is the least hash this far around it
 SETTLED = 8  # two characters of UTF-8
 AHEAD = 24  # bytes of the next chunk that a window takes at first
-KEPT_BYTES, ENTRY = 80 << 20, 100  # what a worker keeps of chunks, and of words; then it starts anew
+# What a worker keeps of chunks and of words, in bytes with so many for each; then it starts anew.
+KEPT_CHUNKS, KEPT_WORDS, ENTRY = 48 << 20, 144 << 20, 100
 TOGETHER = 4096
 
+# A space and characters of which neither the first nor the last is white space.
+_SOLID = rb"(?:[!-~]|[\xc3-\xdf][\x80-\xbf]|[\xe4-\xed][\x80-\xbf]{2})"
+_APART = re.compile(rb" " + _SOLID + rb"(?:[^ \t-\r]*" + _SOLID + rb")?")
+
 _SCATTER = np.random.default_rng(20240612).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -88,15 +93,16 @@ class _Kept:
     def places(self, raw: bytes, start: np.ndarray, end: np.ndarray
                ) -> tuple[np.ndarray, list[bytes]]:
         """The places of byte ranges, and those that are new and get the next ones."""
-        place, out, new = self.place, [], []
-        for a, b in zip(start.tolist(), end.tolist(), strict=True):
-            piece = raw[a:b]
-            k = place.get(piece)
+        place, new = self.place, []
+        pieces = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        out = list(map(place.get, pieces))
+        for i in [i for i, k in enumerate(out) if k is None]:
+            k = place.get(pieces[i])
             if k is None:
-                k = place[piece] = len(place)
-                new.append(piece)
-                self.kept += b - a + ENTRY
-            out.append(k)
+                k = place[pieces[i]] = len(place)
+                new.append(pieces[i])
+                self.kept += len(pieces[i]) + ENTRY
+            out[i] = k
         return np.array(out, np.int64), new
 
     def add(self, ids: np.ndarray, opens: np.ndarray, size: np.ndarray, first: int) -> None:
@@ -174,24 +180,43 @@ class ChunkCoder:
         chunk = np.searchsorted(first_word, np.arange(len(places)), side="right") - 1
         self.chunks.add(ids, opens, np.bincount(chunk[owner], minlength=len(chunks)), first)
 
-    def _tokenize(self, first: int, words: list[bytes]) -> None:
-        ids, pieces, sizes = [], [], []
-        for e in self.tokenizer.encode_batch([w.decode() for w in words],
+    def _tokenize(self, first: int, words: list[bytes], together: int = 64) -> None:
+        """New words by the tokenizer; neighbours that a space parts for certain go together."""
+        texts: list[bytes] = []
+        room = 0
+        for w in words:
+            apart = _APART.fullmatch(w) is not None
+            if apart and room:
+                texts[-1] += w
+            else:
+                texts.append(w)
+                room = together
+            room = room - 1 if apart else 0
+        parts, pieces = [], []
+        for e in self.tokenizer.encode_batch([t.decode() for t in texts],
                                              add_special_tokens=False):
-            ids += e.ids
-            pieces += [-1 if p is None else p for p in e.word_ids]
-            sizes.append(len(e.ids))
-        size, piece = np.array(sizes, np.int64), np.array(pieces, np.int64)
+            parts += e.ids
+            split = e.word_ids
+            pieces += split if split and split[0] is not None else [-1] * len(split)
+        ids = np.array(parts, np.uint32)
+        word_end = np.cumsum([len(w) for w in words])
+        token_end = np.append(0, np.cumsum(self.length[ids]))
+        at = np.searchsorted(token_end, word_end)
+        if together > 1 and not (token_end[at] == word_end).all():
+            return self._tokenize(first, words, 1)
+        piece = np.array(pieces, np.int64)
         opens = np.ones(len(ids), bool)
         opens[1:] = (piece[1:] != piece[:-1]) | (piece[1:] < 0)
-        opens[(np.cumsum(size) - size)[size > 0]] = True
-        self.words.add(np.array(ids, np.uint32), opens, size, first)
+        size = np.diff(at, prepend=0)
+        opens[(at - size)[size > 0]] = True
+        self.words.add(ids, opens, size, first)
+        return None
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts at ``offsets`` of ``data`` and each text's first id."""
-        if self.chunks.kept > KEPT_BYTES:
+        if self.chunks.kept > KEPT_CHUNKS:
             self.chunks = _Kept()
-        if self.words.kept > KEPT_BYTES:
+        if self.words.kept > KEPT_WORDS:
             self.words = _Kept()
         n, raw = len(data), data.tobytes()
         edges = np.unique(np.append(offsets, self._added_places(raw, offsets)))
