@@ -70,7 +70,7 @@ def test_tiny_components_and_products_beyond_doubles(spark):
     rng = random.Random(3)
     rows = [(k, [rng.choice([-1e-20, 1e-20, 0.3, 9e5 + rng.random()]) for _ in range(3)], k % 2)
             for k in range(0, 2000, 10)]
-    big = [(i, [x * 2000 for x in v], label) for i, v, label in rows]
+    big = [(i, [x * 7 for x in v], label) for i, v, label in rows]
     for own in (rows, big):
         assert found(spark.createDataFrame(own, ROWS)) == expected(own)
 
