@@ -38,6 +38,25 @@ def spatial_inner(spark, sf):
     return _located(spark, sf).filter(F.col("code_arrondissement").isNotNull())
 
 
+@query("spatial_piles", """
+    SELECT o_orderkey, (SELECT '7' || CAST(min(s_suppkey) AS VARCHAR) FROM supplier
+        WHERE abs(x) * 4096 < 1 + s_suppkey % 997 AND abs(y) * 4096 < 1 + s_suppkey % 997) AS code
+    FROM (SELECT o_orderkey, (o_orderkey * 37 % 1201 - 600) / 4096.0 AS x,
+        (o_orderkey * 101 % 1301 - 650) / 4096.0 AS y FROM orders)""")
+def spatial_piles(spark, sf):
+    """Squares around one place, one for each supplier: the cells there are cut again."""
+    areas = table(spark, sf, "supplier").selectExpr(
+        "cast(s_suppkey as int) as ord", "concat('7', s_suppkey) as code",
+        "(1 + s_suppkey % 997) / 4096D as h").selectExpr(
+        "ord", "code", "array(array(array(array(2.25D - h, 48.75D - h), array(2.25D + h, 48.75D - h), "
+        "array(2.25D + h, 48.75D + h), array(2.25D - h, 48.75D + h), "
+        "array(2.25D - h, 48.75D - h)))) as parts")
+    points = table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "2.25D + (o_orderkey * 37 % 1201 - 600) / 4096D as lon",
+        "48.75D + (o_orderkey * 101 % 1301 - 650) / 4096D as lat")
+    return join_areas(points, areas, code="code").drop("lon", "lat")
+
+
 def _base(spark, sf):
     return gold.area_base(S.dim(spark, sf), gold.population_table(spark),
                           gold.dwellings_table(spark), S.income(spark, sf),

@@ -11,7 +11,7 @@ from checks.registry import query
 from checks.standin import REGISTRY, table
 from parvis.constants import AREA_CODES
 from parvis.plans.gold import dwellings_table, population_table
-from parvis.sources import layout, readers
+from parvis.sources import layout, quoted, readers
 from parvis.staging import new_scratch_path
 
 # Sales as gzipped CSV ------------------------------------------------------------------
@@ -55,6 +55,22 @@ def read_transactions(spark, sf):
     return readers.read_transactions(spark, f"{path}/*/")
 
 
+@query("read_quoted_csv", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+        CASE o_orderkey % 3 WHEN 0 THEN o_orderpriority || chr(10) || 'next "line", here' || chr(10)
+            WHEN 1 THEN o_orderstatus || ';' ELSE NULL END AS note,
+        CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders""")
+def read_quoted_csv(spark, sf):
+    """Plain files with line breaks, quotes and separators in their values."""
+    path = new_scratch_path(spark, "landed-quoted")
+    table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "case o_orderkey % 3 when 0 then concat(o_orderpriority, '\\n', "
+        "'next \"line\", here\\n') when 1 then concat(o_orderstatus, ';') end as note",
+        "o_custkey").write.options(
+            header=True, escape='"', sep=";", ignoreTrailingWhiteSpace=False).csv(path)
+    return quoted.read_csv(spark, path, ";")
+
+
 def _split(fields: str) -> list[str]:
     """Top-level comma split of a select list."""
     out, depth, start = [], 0, 0

@@ -13,6 +13,8 @@ from parvis.staging import stage
 # An area is cut into cells of its own size class: 16 to 64 of them along its longer side.
 CELLS_PER_SIDE = 16
 CLASS_FACTOR = 4.0
+# A cell that lists more areas than this is cut again, into 4 by 4, at most so many times.
+MOST_LISTED, CUT, DEPTHS = 16, 4, 4
 SMALLEST_SIDE = 1e-6
 
 
@@ -36,23 +38,16 @@ def _outlines(areas: DataFrame) -> DataFrame:
         "array_max(transform(edges, e -> e.y1)) as y1")
 
 
-def area_cells(outlines: DataFrame, size: float) -> DataFrame:
-    """(cx, cy, whole, candidates) for each grid cell that an area reaches.
+def _clip(near: DataFrame, size: float) -> DataFrame:
+    """Rows of (cx, cy, ord, code, edges) with only the edges that can matter to their cell.
 
-    ``whole`` is (ord, code) of a cell lying entirely in its first area: its points need no
-    geometry at all. Other cells list the areas to test, in area order, each with only the
-    edges that can matter to a point of the cell.
+    Rows whose area doesn't reach the cell go; ``full`` says that the area fills it.
     """
     margin = size * 1e-6
-    near = outlines.selectExpr(
-        "*", f"explode(sequence(floor(x0 / {size!r}D), floor(x1 / {size!r}D))) as cx"
-    ).selectExpr(
-        "ord", "code", "edges", "cx",
-        f"explode(sequence(floor(y0 / {size!r}D), floor(y1 / {size!r}D))) as cy",
+    return near.selectExpr(
+        "cx", "cy", "ord", "code", "edges",
         f"cx * {size!r}D - {margin!r}D as west", f"(cx + 1) * {size!r}D + {margin!r}D as east",
-    ).selectExpr(
-        "*", f"cy * {size!r}D - {margin!r}D as south",
-        f"(cy + 1) * {size!r}D + {margin!r}D as north",
+        f"cy * {size!r}D - {margin!r}D as south", f"(cy + 1) * {size!r}D + {margin!r}D as north",
     ).selectExpr(
         "cx", "cy", "ord", "code", "west", "east", "south", "north",
         "filter(edges, e -> greatest(e.y1, e.y2) >= south and least(e.y1, e.y2) <= north "
@@ -65,7 +60,10 @@ def area_cells(outlines: DataFrame, size: float) -> DataFrame:
         + inside_sql("edges", "((west + east) / 2D)", "((south + north) / 2D)") + " as full",
         "border",
     ).filter("border or full")
-    # Nothing behind the first area that fills the cell can match.
+
+
+def _cells(near: DataFrame) -> DataFrame:
+    """(cx, cy, whole, candidates): the areas of each cell up to the first that fills it."""
     return near.groupBy("cx", "cy").agg(
         F.expr("min(if(full, ord, null)) as stop"),
         F.expr("array_sort(collect_list(struct(ord, code, full, edges))) as listed"),
@@ -76,16 +74,54 @@ def area_cells(outlines: DataFrame, size: float) -> DataFrame:
         "as candidates")
 
 
+def area_cells(outlines: DataFrame, size: float, most: int = MOST_LISTED
+               ) -> list[tuple[DataFrame, float]]:
+    """(cx, cy, whole, candidates) for each cell that an area reaches, and the cells' width.
+
+    ``whole`` is (ord, code) of a cell lying entirely in its first area: its points need no
+    geometry at all. Other cells list the areas to test, in area order, each with only the
+    edges that can matter to a point of the cell. A cell that would list more than ``most``
+    areas lists none and is cut into 16 by itself, and they in turn; each depth is a table of
+    its own, and a point's cell is the deepest one that holds it. Areas with the same edges within
+    a cell are one there, the first. After ``DEPTHS`` cuts, cells around a place where
+    that many outlines meet list them all.
+    """
+    near = outlines.selectExpr(
+        "*", f"explode(sequence(floor(x0 / {size!r}D), floor(x1 / {size!r}D))) as cx"
+    ).selectExpr(
+        "ord", "code", "edges", "cx",
+        f"explode(sequence(floor(y0 / {size!r}D), floor(y1 / {size!r}D))) as cy")
+    cells, width = stage(_cells(_clip(near, size)), "area-cells"), size
+    out = []
+    for _ in range(DEPTHS):
+        crowded = cells.filter(F.size("candidates") > most)
+        if not crowded.limit(1).count():
+            break
+        out.append((cells.withColumn("candidates", F.expr(
+            f"if(size(candidates) > {most}, null, candidates)")), width))
+        width /= CUT
+        within = "explode(sequence({0} * {1}, {0} * {1} + {1} - 1)) as {0}"
+        inner = crowded.selectExpr("cx", "cy", "inline(candidates)").selectExpr(
+            within.format("cx", CUT), "cy", "ord", "code", "edges").selectExpr(
+            "cx", within.format("cy", CUT), "ord", "code", "edges")
+        once = _clip(inner, width).groupBy("cx", "cy", "edges", "full").agg(
+            F.min(F.struct("ord", "code")).alias("first")).select(
+            "cx", "cy", "first.*", "full", "edges")
+        cells = stage(_cells(once), "area-cells")
+    return [*out, (cells, width)]
+
+
 def spatial_join(points: DataFrame, areas: DataFrame, lon: str = "lon", lat: str = "lat",
                  code: str = "code_arrondissement", size: float | None = None) -> DataFrame:
     """``points`` plus the code of the first area (by ``ord``) that strictly contains each.
 
     Every input row comes out once; a point in no area or without coordinates gets null.
     ``areas`` has (ord, code, parts). Each size class of areas has a grid of its own, so a large
-    area does not fill the cells of small ones; a point looks up its cell in each. The cell
-    tables are staged, so that the planner knows their sizes and broadcasts them when small;
-    the points are then never shuffled. When one is large, both sides shuffle on the cell and
-    crowded cells are split by the adaptive skew join. With ``size`` all areas share one grid.
+    area does not fill the cells of small ones, and crowded cells are cut again by themselves; a
+    point looks up its cell at each depth that occurs. The cell tables are staged, so that the
+    planner knows their sizes and broadcasts them when small; the points are then never shuffled.
+    When one is large, both sides shuffle on the cell and cells with many points are split by
+    the adaptive skew join. With ``size`` all areas share one grid.
     """
     if size is None:
         outlines, levels = _levels(areas)
@@ -94,19 +130,23 @@ def spatial_join(points: DataFrame, areas: DataFrame, lon: str = "lon", lat: str
     else:
         grids = [(_outlines(areas), size)]
     inside = inside_sql("a.edges", f"`{lon}`", f"`{lat}`")
-    located, hits = points, []
-    for n, (outlines, width) in enumerate(grids):
-        cells = stage(area_cells(outlines, width), "area-cells").selectExpr(
-            f"cx as _cx{n}", f"cy as _cy{n}", f"whole as _whole{n}", f"candidates as _near{n}")
-        at = [F.expr(f"if(isnan(`{c}`), null, floor(`{c}` / {width!r}D))") for c in (lon, lat)]
-        located = located.withColumns({f"_px{n}": at[0], f"_py{n}": at[1]}).join(
-            cells, F.expr(f"_px{n} = _cx{n} and _py{n} = _cy{n}"), "left").drop(
-            f"_px{n}", f"_py{n}", f"_cx{n}", f"_cy{n}")
-        hits.append(F.expr(
-            f"case when _whole{n} is not null then _whole{n} when _near{n} is not null then "
-            f"get(transform(filter(_near{n}, a -> a.full or {inside}), "
-            "a -> struct(a.ord as ord, a.code as code)), 0) end"))
+    located, hits, n = points, [], 0
+    for outlines, base in grids:
+        deeper = []
+        for cells, width in area_cells(outlines, base):
+            cells = cells.selectExpr(f"cx as _cx{n}", f"cy as _cy{n}", f"whole as _whole{n}",
+                                     f"candidates as _near{n}")
+            at = [F.expr(f"if(isnan(`{c}`), null, floor(`{c}` / {width!r}D))") for c in (lon, lat)]
+            located = located.withColumns({f"_px{n}": at[0], f"_py{n}": at[1]}).join(
+                cells, F.expr(f"_px{n} = _cx{n} and _py{n} = _cy{n}"), "left").drop(
+                f"_px{n}", f"_py{n}", f"_cx{n}", f"_cy{n}")
+            deeper.append(F.expr(
+                f"case when _whole{n} is not null then _whole{n} when _near{n} is not null then "
+                f"get(transform(filter(_near{n}, a -> a.full or {inside}), "
+                "a -> struct(a.ord as ord, a.code as code)), 0) end"))
+            n += 1
+        hits.append(F.coalesce(*deeper))
     first = reduce(lambda a, b: F.least(a, b), hits) if hits else None
     found = first["code"] if hits else F.lit(None).cast(areas.schema["code"].dataType)
     return located.withColumn(code, found).drop(
-        *[f"_{kind}{n}" for n in range(len(grids)) for kind in ("whole", "near")])
+        *[f"_{kind}{k}" for k in range(n) for kind in ("whole", "near")])

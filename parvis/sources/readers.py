@@ -18,18 +18,12 @@ from parvis.functions.casts import lenient, null_out
 from parvis.functions.geometry import PARTS_TYPE, box_parts
 from parvis.operators.rows import column_named, fan_out
 from parvis.sources import schemas
+from parvis.sources.quoted import read_csv
 
 
 def _csv(spark: SparkSession, path: str, tokens: Sequence[str], sep: str) -> DataFrame:
-    """A headed CSV as text columns, named by its header, in whatever order.
-
-    Quotes inside quoted values are doubled, and such values may hold separators and line
-    breaks; so a file is one split. Short rows are kept with nulls at their end.
-    """
-    return null_out(
-        spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-        .option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
-        .option("multiLine", True).csv(path), list(tokens))
+    """A headed CSV as text columns, in whatever order, with some texts read as nulls."""
+    return null_out(read_csv(spark, path, sep), list(tokens))
 
 
 def read_transactions(spark: SparkSession, path: str | Sequence[str],

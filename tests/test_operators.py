@@ -247,8 +247,8 @@ def test_a_large_area_does_not_fill_the_cells_of_small_ones(spark):
     shapes = [*small, square(-1.0, -1.0, 40.0)]
     areas = area_frame(spark, shapes)
     outlines, levels = _levels(areas)
-    most = max(area_cells(outlines.filter(F.col("level") == k), 4.0**k / CELLS_PER_SIDE)
-               .agg(F.max(F.size("candidates"))).first()[0] for k in levels)
+    most = max(cells.agg(F.max(F.size("candidates"))).first()[0] for k in levels for cells, _ in
+               area_cells(outlines.filter(F.col("level") == k), 4.0**k / CELLS_PER_SIDE))
     assert len(levels) == 2 and most <= 4
     rng = random.Random(3)
     points = [(rng.uniform(-2, 42), rng.uniform(-2, 42)) for _ in range(400)] + \
@@ -266,7 +266,7 @@ def test_inner_cells_need_no_geometry(spark):
     areas = area_frame(spark, shapes)
     outlines, levels = _levels(areas)
     assert levels == [0]
-    cells = area_cells(outlines, 1 / CELLS_PER_SIDE)
+    [(cells, _)] = area_cells(outlines, 1 / CELLS_PER_SIDE)
     whole = cells.filter("whole IS NOT NULL").count()
     assert whole / cells.count() > 0.6
     assert cells.filter("(whole IS NULL) = (candidates IS NULL)").count() == 0
