@@ -16,8 +16,9 @@ def present(name: str) -> Column:
 
 
 def above(name: str, threshold: float) -> Column:
-    """Present and strictly greater than ``threshold``."""
-    return F.col(name).isNotNull() & (F.col(name) > threshold)
+    """Present, a number, and strictly greater than ``threshold``; Spark orders NaN above all."""
+    return F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double")) & (
+        F.col(name) > threshold)
 
 
 def within(name: str, bounds: tuple[float, float]) -> Column:

@@ -12,10 +12,15 @@ HEX_DIGITS = 15
 
 
 def row_digest(df: DataFrame) -> Column:
-    """A 60-bit number from the MD5 of a row's text form; null differs from empty text."""
-    texts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-"))
-             for c in df.columns]
-    digest = F.md5(F.concat_ws("|", *texts).cast("binary"))
+    """A 60-bit number from the MD5 of a row's text form.
+
+    Each text goes after its length, and a null is a mark of its own, so different rows have
+    different forms.
+    """
+    text = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    texts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit("="), t), F.lit("-"))
+             for t in text]
+    digest = F.md5(F.concat(*texts).cast("binary"))
     return F.conv(F.left(digest, F.lit(HEX_DIGITS)), 16, 10).cast("long")
 
 
@@ -32,6 +37,16 @@ def table_fingerprint(df: DataFrame, name: str) -> DataFrame:
              F.coalesce("digest", F.lit("0")).alias("digest"))
 
 
+def merge_fingerprints(parts: DataFrame) -> DataFrame:
+    """The fingerprint of a whole table from those of its parts, as of single days.
+
+    Counts and digests are sums, so a new day adds its own and no old row is read again.
+    """
+    return parts.groupBy("table_name").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum(F.col("digest").cast("decimal(38,0)")).cast("string").alias("digest"))
+
+
 def _listed(one_row: DataFrame, names: list[str]) -> DataFrame:
     return one_row.unpivot([], names, "check", "failures")
 

@@ -7,13 +7,13 @@ names belong to the facts, and a partition column of the same name would replace
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parvis.sources import versions
 from parvis.staging import hadoop_path
 
 INGESTION = "ingestion_date"
@@ -49,31 +49,13 @@ def write_snapshot(df: DataFrame, path: str, day: str, *more: str) -> None:
 
 
 def create_or_replace(df: DataFrame, path: str) -> None:
-    """Full replacement of a table.
-
-    The new table is written beside the old one and takes its place when it is complete, so a
-    job that fails leaves the old table as it was.
-    """
-    spark = df.sparkSession
-    fresh, stale = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-    fs, target = hadoop_path(spark, path)
-    new, old = (hadoop_path(spark, p)[1] for p in (fresh, stale))
-    try:
-        df.write.parquet(fresh)
-        if fs.exists(target) and not fs.rename(target, old):
-            raise OSError(f"cannot replace {path}")
-        if not fs.rename(new, target):
-            fs.rename(old, target)
-            raise OSError(f"cannot replace {path}")
-    finally:
-        fs.delete(new, True)
-        if fs.exists(target):
-            fs.delete(old, True)
+    """Full replacement of a table, by one commit; see :mod:`parvis.sources.versions`."""
+    versions.replace(df, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A written table; the ingestion date is text, as it was written."""
-    df = spark.read.parquet(path)
+    """A written table in its last state; the ingestion date is text, as it was written."""
+    df = spark.read.parquet(versions.current(spark, path) or path)
     return df.withColumn(INGESTION, F.col(INGESTION).cast("string")) \
         if INGESTION in df.columns else df
 

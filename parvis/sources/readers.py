@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,12 +136,20 @@ def tag_poi_source(df: DataFrame, key: str) -> DataFrame:
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, properties, kind, parts) of a GeoJSON FeatureCollection, in file order.
+    """(ord, properties, kind, parts) of GeoJSON FeatureCollections, in the order of the files' names.
 
-    A file without features gives the fixed boxes around the area centres instead.
+    ``ord`` numbers the features of a file, and goes on from file to file: its first feature
+    follows the last one of the file before it, however the files are read. A file is one record, read
+    by one task. Files without features give the fixed boxes around the area centres instead.
     """
-    features = spark.read.schema(schemas.AREAS).option("multiLine", True).json(path).select(
-        F.posexplode("features").alias("ord", "feature"))
+    files = spark.read.schema(schemas.AREAS).option("multiLine", True).json(path).select(
+        "features", F.col("_metadata.file_path").alias("file"), F.size("features").alias("n"))
+    # One narrow row a file: how many features lie before it.
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = files.filter("n > 0").groupBy("file").agg(F.sum("n").alias("n")).select(
+        F.col("file").alias("_file"), F.coalesce(before, F.lit(0)).alias("_start"))
+    features = files.select("file", F.posexplode("features").alias("pos", "feature")).join(
+        starts, F.expr("file = _file")).withColumn("ord", F.expr("cast(_start + pos as int)"))
     shape = F.col("feature.geometry.coordinates")
     single = F.from_json(shape, "array<array<array<double>>>")
     parts = F.when(F.col("feature.geometry.type") == "MultiPolygon",

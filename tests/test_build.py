@@ -284,9 +284,10 @@ def test_a_failed_replacement_leaves_the_table(spark, tmp_path):
     layout.create_or_replace(spark.range(3), path)
     with pytest.raises(Exception):
         layout.create_or_replace(spark.range(3).selectExpr("raise_error('x') AS id"), path)
-    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
-    layout.create_or_replace(spark.read.parquet(path).union(spark.range(1)), path)
-    assert spark.read.parquet(path).count() == 4
+    assert layout.read_table(spark, path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    layout.create_or_replace(layout.read_table(spark, path).union(spark.range(1)), path)
+    assert layout.read_table(spark, path).count() == 4
 
 
 def test_gold_failure_is_raised(spark, tmp_path):
