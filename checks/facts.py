@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks import standin as S
@@ -14,7 +17,8 @@ from parvis.functions import indices as I
 from parvis.operators import rows as R
 from parvis.operators.spatial import spatial_join as join_areas
 from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
-from parvis.plans import gold, silver
+from parvis.plans import gold, silver, sketches
+from parvis.staging import new_scratch_path
 
 # Joins ---------------------------------------------------------------------------------
 
@@ -129,6 +133,33 @@ def approx_monthly_area_stats(spark, sf):
                    "prix_m2_moyen", "volume_eur")
 
 
+@query("merged_day_sketches", f"""
+    SELECT code_arrondissement, year, count(*) AS nb_transactions,
+        {rnd_sql('avg(prix_m2)', 6)} AS prix_m2_moyen, {rnd_sql('sum(valeur_fonciere)', 2)}
+        AS volume_eur, true AS ranks_within_two_percent
+    FROM area_sales WHERE prix_m2 BETWEEN 1000 AND 40000 GROUP BY 1, 2""")
+def merged_day_sketches(spark, sf):
+    """Sketches stored by quarter, merged to years; how far their ranks are off is measured."""
+    sales = S.area_sales(spark, sf).withColumn("day", F.expr(
+        "concat(year, '-', (month + 2) div 3)"))
+    path = new_scratch_path(spark, "day-sketches")
+    for odd in (0, 1):
+        sketches.store_days(sales.filter(F.pmod(F.hash("day"), F.lit(2)) == odd), path, "day")
+    keys = ["code_arrondissement", "year"]
+    years = sketches.stats_from_sketches(spark.read.parquet(path), keys)
+    found = years.select(*keys, *[f"prix_m2_{c}" for c in ("p25", "median", "p75")])
+    parts = ("p25", "median", "p75")
+    shares = [F.avg(op(F.col("prix_m2"), F.col(f"prix_m2_{c}")).cast("double")).alias(f"{n}_{c}")
+              for n, op in (("lt", operator.lt), ("le", operator.le)) for c in parts]
+    below = gold.plausible_prices(sales).join(found, keys).groupBy(*keys).agg(*shares)
+    close = reduce(lambda a, b: a & b, [
+        (F.col(f"lt_{c}") <= q + .02) & (F.col(f"le_{c}") >= q - .02)
+        for c, q in zip(parts, sketches.QUARTILES, strict=True)])
+    out = years.join(below.select(*keys, close.alias("ranks_within_two_percent")), keys)
+    return rounded(out.select(*keys, "nb_transactions", "prix_m2_moyen", "volume_eur",
+                              "ranks_within_two_percent"), 6, "prix_m2_moyen", "volume_eur")
+
+
 @query("social_units_by_area_year", "SELECT * FROM units")
 def social_units_by_area_year(spark, sf):
     return S.units(spark, sf)

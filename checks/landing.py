@@ -188,14 +188,15 @@ def tag_poi_source(spark, sf):
 
 
 @query("read_polygons", """
-    SELECT s_suppkey // 50 AS batch, s_suppkey % 50 AS ord,
+    SELECT s_suppkey // 50 AS batch, row_number() OVER (ORDER BY s_suppkey) - 1 AS ord,
         CASE WHEN s_suppkey % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
         CAST(s_suppkey AS VARCHAR) AS c_ar,
         CAST(CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_parts,
         s_suppkey + 0.25e0 AS east
     FROM supplier""")
 def read_polygons(spark, sf):
-    """A FeatureCollection per fifty suppliers; every third is made of two parts."""
+    """A FeatureCollection per fifty suppliers, in files whose names are in the order of their
+    keys; every third feature is made of two parts. The order goes on from file to file."""
     path = new_scratch_path(spark, "landed-areas")
     ring = "array(array(x, 1D), array(x + 0.25D, 1D), array(x + 0.25D, 2D), array(x, 2D), " \
            "array(x, 1D))"
@@ -211,8 +212,9 @@ def read_polygons(spark, sf):
         '}}') AS feature"""
     ).groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "feature"))).alias("f")
     ).selectExpr(
+        "lpad(batch, 9, '0') AS folder",
         """concat('{"type":"FeatureCollection","features":[', array_join(f.feature, ','), ']}')
-        AS value""").write.option("maxRecordsPerFile", 1).text(path)
+        AS value""").write.partitionBy("folder").text(path)
     return readers.read_polygons(spark, path).selectExpr(
         "CAST(properties['batch'] AS BIGINT) AS batch", "CAST(ord AS BIGINT) AS ord", "kind",
         "properties['c_ar'] AS c_ar", "CAST(size(parts) AS BIGINT) AS n_parts",
