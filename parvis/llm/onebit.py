@@ -91,22 +91,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
     usable = usable.where(F.size("v") == dimension)
     few = usable.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(CENTRE_ROWS).select("v")
     centre = np.array([r["v"] for r in few.collect()]).mean(axis=0)
-    queries = usable.where(is_query(F.col("vec_id")))
+    queries = usable.where(is_query(F.col("vec_id"))).distinct()
 
     path, wave, behind = new_scratch_path(spark, "nearest"), 0, None
     while True:
-        # Queries go in order of their id, so that a wave begins where the last one ended.
-        rest = queries if behind is None else queries.where(F.col("vec_id") > behind)
-        now = rest.orderBy("vec_id", "v").limit(WAVE + 1).collect()
-        if len(now) > WAVE:
-            last = now[-1]["vec_id"]
-            whole = [r for r in now if r["vec_id"] < last]
-            if not whole:
-                raise ValueError(f"more than {WAVE} query vectors have the id {last}")
-            now = whole
+        # Queries go in the order of id and vector, so that a wave begins where the last one
+        # ended; the vectors of one id may lie in several.
+        rest = queries if behind is None else queries.where(
+            F.struct("vec_id", "v") > F.struct(F.lit(behind["vec_id"]).cast("long"), F.array(
+                *[F.lit(x) for x in behind["v"]])))
+        now = rest.orderBy("vec_id", "v").limit(WAVE).collect()
         if not now:
             break
-        behind = now[-1]["vec_id"]
+        behind = now[-1]
         ids = np.array([r["vec_id"] for r in now])
         found = usable.mapInArrow(
             _block_search(ids, np.array([r["v"] for r in now]), centre, k),

@@ -1,8 +1,9 @@
 """Words of Arrow text columns as 64-bit hashes, found in the UTF-8 bytes of whole batches.
 
 All word classes used in this package treat every non-ASCII byte alike, so words can be cut
-from the bytes without decoding. Only A-Z are lower-cased. The hash of a word is a polynomial
-over random byte values modulo 2^64, taken from prefix sums, and then mixed with its length.
+from the bytes without decoding. Only A-Z are lower-cased. The hash of a word is the sum of its
+bytes, each scrambled with its place in the word, and then mixed with the length. (A polynomial
+modulo 2^64 would not do: whatever its base, it takes some pairs of words for one.)
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ LETTERS = np.zeros(256, bool)  # [^\x00-\x2F\x3A-\x60\x7B-\x7F]
 LETTERS[0x30:0x3A] = LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
 
 VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,16 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[name] = np.cumprod(table, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
-
-
 @dataclass
 class Words:
     """The words of some texts: byte ranges and hashes, and where each text's words begin."""
@@ -76,11 +66,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The hashes of byte ranges of ``data``."""
-    up, down = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(VALUES[data] * up[:len(data)], out=sums[1:])
-    hashes = (sums[end] - sums[start]) * down[start]
-    return mix(hashes + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    size = (end - start).astype(np.int64)
+    stop = np.cumsum(size)
+    first = stop - size
+    every = np.arange(stop[-1] if len(stop) else 0)
+    place = every - np.repeat(first, size)
+    value = VALUES[data[every + np.repeat(start - first, size)]]
+    sums = np.zeros(len(every) + 1, np.uint64)
+    np.cumsum(mix(value ^ (place.astype(np.uint64) * np.uint64(BASE))), out=sums[1:])
+    return mix(sums[stop] - sums[first] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def cut_words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SPACED) -> Words:
