@@ -33,10 +33,11 @@ VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 @dataclass
@@ -70,10 +71,13 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     stop = np.cumsum(size)
     first = stop - size
     every = np.arange(stop[-1] if len(stop) else 0)
-    place = every - np.repeat(first, size)
     value = VALUES[data[every + np.repeat(start - first, size)]]
+    every -= np.repeat(first, size)  # the places in their words
+    place = every.view(np.uint64)
+    place *= np.uint64(BASE)
+    value ^= place
     sums = np.zeros(len(every) + 1, np.uint64)
-    np.cumsum(mix(value ^ (place.astype(np.uint64) * np.uint64(BASE))), out=sums[1:])
+    np.cumsum(mix(value), out=sums[1:])
     return mix(sums[stop] - sums[first] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
