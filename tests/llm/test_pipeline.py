@@ -11,7 +11,7 @@ from parvis.llm.queries import QUERIES
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) < set(names) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
 
