@@ -47,16 +47,30 @@ def lag_delta(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[st
               name: str) -> DataFrame:
     """``value`` less the previous row's value within ``keys``, in the order of ``order``.
 
-    Rows that tie follow their other columns, so the order is total up to exact copies. These
-    are one row with a count until the end: the first of them steps from the row before, the
-    others from a copy of themselves. The distinct rows are range-partitioned by keys and
-    order, so a partition is even whatever the keys, and written with its number; the last row
-    of each goes before the first of the next.
+    Rows that tie follow their other columns, so the order is total up to exact copies; the first
+    of these steps from the row before, the others from a copy of themselves. Where ``order``
+    holds ``value``, rows that tie have the same value, and only keys and order are sorted:
+    see :func:`lag_steps`. Otherwise the distinct rows are sorted with all their columns.
     """
-    spark = df.sparkSession
+    if value in order:
+        return with_steps(df, lag_steps(df, keys, value, order, name), keys, value, order, name)
     total = list(dict.fromkeys([*keys, *order, *df.columns]))
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stepped = _steps(distinct, keys, value, total, "_step")
+    return stepped.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_copies"))).select(
+        *df.columns,
+        F.when(F.col("_nth") == 1, F.col("_step")).otherwise(F.col(value) - F.col(value))
+        .alias(name))
+
+
+def _steps(distinct: DataFrame, keys: Sequence[str], value: str, total: Sequence[str],
+           name: str) -> DataFrame:
+    """``distinct`` with the step of each row from the one before it in ``keys``.
+
+    Rows are range-partitioned by keys and order, so a partition is even whatever the keys,
+    and written with its number; the last row of each goes before the first of the next.
+    """
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = stage(distinct.repartitionByRange(parts, *total).withColumn(
         "_part", F.spark_partition_id()), "ordered-rows")
     held = list(dict.fromkeys([*keys, value]))
@@ -69,14 +83,68 @@ def lag_delta(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[st
     inside = Window.partitionBy("_part").orderBy("_real", *total)
     previous = reduce(lambda a, b: a & b, [
         same(F.col(k), F.lag(k).over(inside)) for k in keys], F.row_number().over(inside) > 1)
-    stepped = (
+    return (
         placed.withColumn("_real", F.lit(True)).unionByName(before, allowMissingColumns=True)
-        .withColumn("_step", F.when(previous, F.col(value) - F.lag(value).over(inside)))
-        .filter("_real"))
-    return stepped.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_copies"))).select(
-        *df.columns,
-        F.when(F.col("_nth") == 1, F.col("_step")).otherwise(F.col(value) - F.col(value))
-        .alias(name))
+        .withColumn(name, F.when(previous, F.col(value) - F.lag(value).over(inside)))
+        .filter("_real").drop("_real", "_part"))
+
+
+def lag_steps(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
+              name: str) -> DataFrame:
+    """One row for each distinct ``keys`` and ``order``: its step ``name`` and ``_ties``, its rows.
+
+    ``order`` holds ``value``. No other column of ``df`` is read.
+    """
+    total = list(dict.fromkeys([*keys, *order]))
+    counted = df.groupBy(*total).agg(F.count(F.lit(1)).alias("_ties"))
+    return _steps(counted, keys, value, total, name)
+
+
+BLOCK = 1 << 16  # copies of a row made from one array
+
+
+def with_steps(df: DataFrame, steps: DataFrame, keys: Sequence[str], value: str,
+               order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with ``name`` and any further column of ``steps`` (from :func:`lag_steps`).
+
+    The rows are joined once. Of rows that tie, the one with the least other columns has the
+    step; if it has copies, they are made anew from their number, one of them with the step.
+    """
+    total = list(dict.fromkeys([*keys, *order]))
+    rest = [c for c in df.columns if c not in total]
+    more = [c for c in steps.columns if c not in {*total, *rest, name, "_ties"}]
+    steps = stage(steps, "steps")
+    ties = stage(steps.filter("_ties > 1").select(*_prefixed(total)), "ties")
+    own = F.struct(F.lit(0).alias("_"), *rest)
+    nothing = F.col(value) - F.col(value)
+    columns = [*[F.col(f"_k_{c}" if c in total else f"_r_{c}").alias(c) for c in df.columns],
+               *more]
+    right = steps.select(*_prefixed(total), *more, name, "_ties")
+    if ties.isEmpty():
+        return df.join(right, _matches(total)).select(*df.columns, *more, name)
+    tied = df.join(ties, _matches(total)).groupBy(*df.columns).agg(
+        F.count(F.lit(1)).alias("_copies"))
+    least = stage(tied.groupBy(*total).agg(F.min(F.struct(own.alias("_first"), "_copies"))
+                                           .alias("_least")), "least-ties")
+    firsts = least.join(right, _matches(total)).select(
+        *_prefixed(total), F.col("_least._first").alias("_first"),
+        F.col("_least._copies").alias("_copies"), *more, name)
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / BLOCK)))
+    flat = firsts.select("*", *[F.col(f"_first.{c}").alias(f"_r_{c}") for c in rest]).drop("_first")
+    again = flat.withColumn("_block", blocks).withColumn("_nth", F.explode(F.sequence(
+        F.col("_block") * BLOCK + 1, F.least("_copies", (F.col("_block") + 1) * BLOCK))))
+    value_again = F.col(f"_k_{value}")
+    made = again.select(*columns, F.when(F.col("_nth") == 1, F.col(name)).otherwise(
+        value_again - value_again).alias(name))
+    marked = right.join(
+        firsts.select(*[F.col(f"_k_{c}").alias(f"_f_{c}") for c in total], "_first"),
+        reduce(lambda a, b: a & b, [same(F.col(f"_k_{c}"), F.col(f"_f_{c}")) for c in total]),
+        "left")
+    others = df.join(marked, _matches(total)).filter(
+        F.col("_first").isNull() | ~same(F.col("_first"), own))
+    return others.select(
+        *df.columns, *more,
+        F.when(F.col("_ties") == 1, F.col(name)).otherwise(nothing).alias(name)).unionByName(made)
 
 
 def dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

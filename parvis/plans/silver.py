@@ -21,7 +21,9 @@ from parvis.functions.indices import unit_price
 from parvis.operators import rows as R
 from parvis.operators import validation as V
 from parvis.operators.spatial import spatial_join
-from parvis.operators.windows import dense_rank_desc, group_medians, lag_delta, with_group
+from parvis.operators.windows import (
+    dense_rank_desc, group_medians, lag_steps, with_group, with_steps,
+)
 from parvis.sources import schemas
 from parvis.sources.layout import stamp
 from parvis.staging import stage
@@ -68,15 +70,17 @@ def located_transactions(raw: DataFrame, areas: DataFrame) -> DataFrame:
 def silver_transactions(raw: DataFrame, areas: DataFrame) -> DataFrame:
     """Valid, located sales with the area median, the month's price rank and the price step.
 
-    The located sales are written once, and medians and ranks are worked out from them, each
-    reading only its own columns, before the small results are joined to the rows.
+    The located sales are written once. Medians, steps and ranks are worked out from the columns
+    they need alone, ranks from the rows of the steps, so all columns are joined once.
     """
     sales = stage(located_transactions(raw, areas), "located-sales")
     medians = group_medians(sales, ["code_arrondissement"], "prix_m2", "prix_m2_median_arr")
     order = [c for c in SALE_ORDER if c in sales.columns]
-    stepped = lag_delta(sales, ["code_arrondissement", "year"], "prix_m2", order,
-                        "delta_prix_m2_vs_prev")
-    ranked = dense_rank_desc(stepped, ["year", "month"], "prix_m2", "rank_prix_m2_dans_mois")
+    keys = ["code_arrondissement", "year"]
+    steps = lag_steps(sales, keys, "prix_m2", order, "delta_prix_m2_vs_prev")
+    ranks = dense_rank_desc(steps.withColumn("month", F.month("date_mutation").cast("long")),
+                            ["year", "month"], "prix_m2", "rank_prix_m2_dans_mois").drop("month")
+    ranked = with_steps(sales, ranks, keys, "prix_m2", order, "delta_prix_m2_vs_prev")
     return with_group(ranked, medians, ["code_arrondissement"])
 
 

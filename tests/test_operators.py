@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -17,7 +18,8 @@ from parvis.operators import validation as V
 from parvis.operators.quantiles import grouped_quantiles
 from parvis.operators.spatial import CELLS_PER_SIDE, _levels, area_cells, spatial_join
 from parvis.plans.serving import kpi_order
-from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
+from parvis.operators.windows import dense_rank_desc, lag_delta, lag_steps, median_over
+from parvis.staging import new_scratch_path
 
 
 
@@ -124,6 +126,21 @@ def test_lag_of_rows_that_tie_but_differ_follows_the_other_columns(spark):
     assert out == {"z": None, "a": 1.0, "b": 2.0}
 
 
+def test_narrow_lag_reads_keys_and_order_only(spark):
+    """Ties with other columns, copies of the least tie, nulls and NaN, against the wide way."""
+    df = spark.range(2000).selectExpr(
+        "if(id % 5 = 0, null, id % 3) AS k", "id % 7 AS day",
+        "CASE id % 11 WHEN 0 THEN null WHEN 1 THEN double('NaN') ELSE double(id % 4) END AS price",
+        "if(id % 13 = 0, null, concat('n', id % 6)) AS note", "id % 2 AS lot").repartition(5)
+    narrow = lag_delta(df, ["k"], "price", ["day", "price"], "d")
+    w = Window.partitionBy("k").orderBy("day", "price", "note", "lot")
+    want = df.withColumn("d", F.col("price") - F.lag("price").over(w))
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, want.collect()))
+    assert narrow.columns == want.columns
+    steps = lag_steps(df, ["k"], "price", ["day", "price"], "d")
+    assert steps.columns == ["k", "day", "price", "_ties", "d"]
+
+
 def test_lag_of_an_empty_table(spark):
     df = sales(spark).filter("id < 0")
     assert lag_delta(df, ["area"], "price", ["day", "id"], "d").count() == 0
@@ -307,6 +324,27 @@ def test_paging(spark):
         P.page_slice(df, [F.col("n")], 0)
 
 
+def test_deep_pages_read_few_slices(spark):
+    df = spark.range(5000).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 50 = 1, null, concat('k', id % 90))) AS k", "id * 7 % 5000 AS v")
+    path = new_scratch_path(spark, "pages")
+    P.write_pages(df, ["k"], path, slices=20)
+    whole = [tuple(r) for r in df.orderBy("k", "v").collect()]
+    for page, size in [(1, 30), (50, 37), (100, 50), (101, 50), (2, 4000)]:
+        got = P.read_page(spark, path, page, size)
+        assert [tuple(r) for r in got.collect()] == whole[(page - 1) * size:page * size]
+    plan = P.read_page(spark, path, 90, 50)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_slice", plan)
+    with pytest.raises(ValueError):
+        P.read_page(spark, path, 0)
+
+
+def test_pages_of_an_empty_table(spark):
+    path = new_scratch_path(spark, "pages")
+    P.write_pages(spark.range(0), ["id"], path, slices=3)
+    assert P.read_page(spark, path, 1, 10).count() == 0
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_nulls_sort_last_and_ties_by_code(spark, descending):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("d", None), ("c", 2.0)],
