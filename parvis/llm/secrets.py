@@ -2,13 +2,14 @@
 
 Non-ASCII characters count as one byte that no rule accepts, so byte offsets are code points.
 The automaton looks for the shortest proof of a rule; the span is then what the rule's own
-expression takes from the earliest place at or after the rule's last span.
+expression takes from the earliest place at or after the rule's last span. What a failed attempt has
+shown is remembered, so that the work grows with the length of a text, whatever it holds.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -20,12 +21,58 @@ from parvis.llm.automaton import Automaton
 from parvis.llm.tables import id_text
 
 
+# A private key: its headers and base64 text up to the END line. Without one, its base64 words,
+# the last of which may be short. Line breaks may be written as \\n.
+_GAP = r"(?:\s|\\[nr])"
+_HEADER = re.compile((_GAP + r"++[A-Za-z][A-Za-z0-9-]*+:").encode())
+_LINE_END = re.compile(rb"\n|\\n")
+_BODY = re.compile((
+    r"(?:[A-Za-z0-9+/=]|" + _GAP + r")*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:" + _GAP + r"++[A-Za-z0-9+/]{16,}+={0,2}+(?![^\s\\]))++"
+    r"(?:" + _GAP + r"++(?:[A-Za-z0-9+/]++={1,2}+"
+    r"|(?<=[\nnr])[A-Za-z0-9+/]++(?=[\r\n\\]|\Z)))?+").encode())
+
+
+class KeyEnds:
+    """Where private keys of one text end, from the ends of their BEGIN lines in ascending order.
+
+    A header takes the rest of its line. Where two keys begin in one line, both come to its end, so
+    each line's end is looked for once and what follows it is matched once.
+    """
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.line, self.known = data, (0, -1), {}
+
+    def _line_end(self, at: int) -> int:
+        if not self.line[0] <= at <= self.line[1]:
+            found = _LINE_END.search(self.data, at)
+            self.line = at, found.start() if found else len(self.data)
+        return self.line[1]
+
+    def __call__(self, at: int) -> int:
+        begin, passed = at, []
+        while at not in self.known:
+            passed.append(at)
+            header = _HEADER.match(self.data, at)
+            if header is None:
+                body = _BODY.match(self.data, at)
+                self.known[at] = body.end() if body else None
+                break
+            at = self._line_end(header.end())
+        end = self.known[at]
+        self.known.update(dict.fromkeys(passed, end))
+        return begin if end is None else end
+
+
 @dataclass(frozen=True)
 class Rule:
     """``proof`` is a beginning of every match, of ``length`` bytes if that is fixed.
 
     ``pattern`` gives the span; ``value`` is the group whose length must reach ``least``. Long
-    counts are left to ``least``, as the automaton would need a state for each.
+    counts are left to ``least``, as the automaton would need a state for each. If ``pattern`` can
+    fail where the proof holds, it then fails wherever it begins within what ``run`` takes
+    there. With ``ends`` a span goes from the last ``begin`` before the end of the proof to
+    where ``ends(data)`` says; no other place of a proof may hold ``begin``.
     """
 
     kind: str
@@ -34,21 +81,14 @@ class Rule:
     length: int = 0
     value: int = 0
     least: int = 0
+    run: str = ""
+    begin: str = ""
+    ends: Callable[[bytes], Callable[[int], int]] | None = None
 
 
 _ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
            r"""([A-Za-z0-9+/_.=-]+))""")
 
-# A private key: its headers and base64 text up to the END line. Without one, its base64 words,
-# the last of which may be short. Line breaks may be written as \\n.
-_GAP = r"(?:\s|\\[nr])"
-_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
-        r"(?:(?:" + _GAP + r"++[A-Za-z][A-Za-z0-9-]*+:(?:(?!\\n)[^\n])*+)*+"
-        r"(?:(?:[A-Za-z0-9+/=]|" + _GAP + r")*+-----END [A-Z ]*PRIVATE KEY-----"
-        r"|(?:" + _GAP + r"++[A-Za-z0-9+/]{16,}+={0,2}+(?![^\s\\]))++"
-        r"(?:" + _GAP + r"++(?:[A-Za-z0-9+/]++={1,2}+"
-        r"|(?<=[\nnr])[A-Za-z0-9+/]++(?=[\r\n\\]|\Z)))?+))?+")
-
 # The first three rules are given, the others follow public key formats.
 RULES = (
     Rule("assign", _ASSIGN, _ASSIGN, value=2, least=6),
@@ -59,8 +99,10 @@ RULES = (
     Rule("google", r"AIza[A-Za-z0-9_-]", r"AIza[A-Za-z0-9_-]+", length=5, least=39),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]", r"[rs]k_live_[A-Za-z0-9]+", length=9, least=24),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]",
-         r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", length=4, least=32),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", _PEM),
+         r"eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", length=4, least=32,
+         run=r"[A-Za-z0-9_-]+"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+         begin="-----BEGIN ", ends=KeyEnds),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -80,21 +122,40 @@ class Scanner:
     def patterns(self) -> list[re.Pattern]:
         return [re.compile(r.pattern.encode()) for r in self.rules]
 
+    @cached_property
+    def runs(self) -> list[re.Pattern]:
+        return [re.compile(r.run.encode()) for r in self.rules]
+
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """``(start, rule, end)`` of all secrets, by start and then by rule."""
         data = (text or "").encode("ascii", "replace")
-        out, behind = [], [0] * len(self.rules)
+        out, behind, failed = [], [0] * len(self.rules), [0] * len(self.rules)
+        ends = {r: rule.ends(data) for r, rule in enumerate(self.rules) if rule.ends}
         for end, hit in self.automaton.scan(data):
             for r in hit:
                 if end <= behind[r]:
                     continue
                 rule, pattern = self.rules[r], self.patterns[r]
+                if r in ends:
+                    start = data.rfind(rule.begin.encode(), behind[r], end)
+                    if start >= 0:
+                        behind[r] = ends[r](end)
+                        if behind[r] - start >= rule.least:
+                            out.append((start, r, behind[r]))
+                    continue
                 if rule.length:
-                    found = pattern.match(data, end - rule.length)
+                    start = end - rule.length
+                    if start < max(behind[r], failed[r]):
+                        continue
+                    found = pattern.match(data, start)
+                    if found is None:
+                        failed[r] = self.runs[r].match(data, start).end()
+                        continue
                 else:
                     found = pattern.search(data, behind[r])
-                if found is None:
-                    continue
+                    if found is None:  # nowhere to the end of the text
+                        behind[r] = len(data)
+                        continue
                 behind[r] = found.end()
                 if found.end(rule.value) - found.start(rule.value) >= rule.least:
                     out.append((found.start(), r, found.end()))
