@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from checks.registry import query, rounded, rounded_sql
@@ -16,6 +17,7 @@ from parvis.functions.indices import unit_price
 from parvis.operators import rows as R
 from parvis.operators import validation as V
 from parvis.plans import gold, serving, silver
+from parvis.staging import stage
 
 TIMELINE_ROUNDED = ("prix_m2_median", "volume_eur", "prix_m2_median_3m", "delta_prix_m2_mom")
 TIMELINE_OUT = "code_arrondissement, year, month, year_month, nb_transactions, " \
@@ -61,7 +63,7 @@ def validate_rules(spark, sf):
     return _sales_out(V.keep_valid(typed, silver.transaction_rules()))
 
 
-@query("validation_report", """
+_REPORT = """
     SELECT position, rule, count(*) FILTER (WHERE failed = position) AS rejected,
         count(*) FILTER (WHERE failed > position) AS kept
     FROM (SELECT CASE WHEN date_mutation IS NULL THEN 1
@@ -74,12 +76,26 @@ def validate_rules(spark, sf):
         (VALUES (1::BIGINT, 'non_null_date'), (2, 'non_null_valeur'), (3, 'non_null_surface'),
             (4, 'valeur_realistic'), (5, 'geo_within_paris'), (6, 'type_local_logement'))
         AS r(position, rule)
-    GROUP BY 1, 2""")
+    GROUP BY 1, 2"""
+
+
+@query("validation_report", _REPORT)
 def validation_report(spark, sf):
     typed = silver.typed_transactions(sales_raw(spark, sf))
     return V.validation_report(typed, silver.transaction_rules())
 
 
+@query("observed_validation", f"""
+    SELECT *, (SELECT count(*) FROM valid_sales) AS written FROM ({_REPORT})""")
+def observed_validation(spark, sf):
+    """The report counted in the pass that writes the kept sales, and how many were written."""
+    rules, seen = silver.transaction_rules(), Observation()
+    typed = silver.typed_transactions(sales_raw(spark, sf))
+    kept = stage(V.keep_valid_observed(typed, rules, seen), "valid-sales")
+    return V.observed_report(spark, seen, rules).withColumn(
+        "written", kept.select(F.count("*")).scalar())
+
+
 @query("rule_nonnull_positive", f"SELECT {_SALE_OUT} FROM sales_raw WHERE surface_reelle_bati > 9")
 def rule_nonnull_positive(spark, sf):
     return _sales_out(sales_raw(spark, sf).filter(V.above("surface_reelle_bati", 9)))

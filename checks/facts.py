@@ -17,8 +17,10 @@ from parvis.functions import indices as I
 from parvis.operators import rows as R
 from parvis.operators.spatial import spatial_join as join_areas
 from parvis.operators.windows import dense_rank_desc, lag_delta, median_over
-from parvis.plans import gold, silver, sketches
-from parvis.staging import new_scratch_path
+from parvis.plans import gold, refresh, silver, sketches
+from parvis.sources import versions
+from parvis.sources.layout import read_table
+from parvis.staging import new_scratch_path, stage
 
 # Joins ---------------------------------------------------------------------------------
 
@@ -120,6 +122,27 @@ def monthly_area_stats(spark, sf):
     return rounded(S.monthly(spark, sf), 6, *_STATS)
 
 
+@query("refreshed_timeline", f"""
+    SELECT {TIMELINE_OUT}, year NOT IN (1993, 1996) AND year NOT IN (
+        SELECT m.year FROM month_rows m LEFT JOIN month_rows f ON f.nth = m.nth - 2
+            AND f.code_arrondissement = m.code_arrondissement, (VALUES (1993), (1996)) AS v(y)
+        WHERE y <= m.year AND coalesce(f.year, 0) <= y) AS untouched FROM timeline""")
+def refreshed_timeline(spark, sf):
+    """A year lands whose prices were wrong and whose sales were few; the rest keeps its files."""
+    facts, series = new_scratch_path(spark, "facts"), new_scratch_path(spark, "series")
+    sales = stage(S.area_sales(spark, sf), "area-sales")
+    wrong = sales.filter("year <> 1993 OR month < 4").withColumn(
+        "prix_m2", F.expr("CASE WHEN year = 1996 THEN prix_m2 * 1.01 ELSE prix_m2 END"))
+    refresh.refresh_facts(wrong, facts)
+    refresh.refresh_timeline(spark, facts, series)
+    old = set(versions.current(spark, series))
+    refresh.refresh_facts(sales, facts, [1993, 1996])
+    refresh.refresh_timeline(spark, facts, series, [1993, 1996])
+    kept = [int(f.rpartition("=")[2]) for f in versions.current(spark, series) if f in old]
+    out = read_table(spark, series).withColumn("untouched", F.col("year").isin(kept))
+    return rounded(out, 6, *TIMELINE_ROUNDED)
+
+
 # With fewer rows per group than its accuracy, the approximation is the discrete quantile.
 @query("approx_monthly_area_stats", f"""
     SELECT code_arrondissement, year, month, count(*) AS nb_transactions,

@@ -6,16 +6,18 @@ import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.constants import CITY_POI, NATIONAL_POI
 from parvis.functions.casts import to_iso_date
-from parvis.plans import gold, silver
+from parvis.operators import validation
+from parvis.plans import gold, refresh, silver
 from parvis.sources import readers, schemas
 from parvis.sources.layout import (
     INGESTION, create_or_replace, read_latest, read_table, table_path, write_snapshot,
 )
+from parvis.sources.versions import replace_parts
 from parvis.staging import scratch_scope
 
 log = logging.getLogger(__name__)
@@ -25,6 +27,7 @@ LAYERS = ("raw", "silver", "gold")
 GOLD = ["dim_arrondissement", "fact_transactions_arr_mois", "fact_logements_sociaux",
         "fact_revenus_arr", "fact_air_quality", "fact_poi_arr", "dim_poi",
         "kpi_arrondissement", "timeline_arrondissement"]
+FACTS, TIMELINE = "fact_transactions_arr_mois", "timeline_arrondissement"
 
 
 def is_missing(error: Exception) -> bool:
@@ -47,6 +50,7 @@ class Build:
 
     def __init__(self, spark: SparkSession, root: str, day: str, all_snapshots: bool = False):
         self.spark, self.root, self.day, self.all_snapshots = spark, root, day, all_snapshots
+        self.report: DataFrame | None = None  # of the rules for sales, once these are cleaned
 
     def landed(self, source: str) -> str:
         return table_path(self.root, "landing", source)
@@ -94,7 +98,12 @@ class Build:
             path = table_path(self.root, "raw", source)
             raw = read_table(self.spark, path) if self.all_snapshots else read_latest(
                 self.spark, path, "annee")
-            df = silver.silver_transactions(raw.drop(INGESTION, "annee"), self.areas())
+            seen = Observation()
+            df = silver.silver_transactions(raw.drop(INGESTION, "annee"), self.areas(), seen)
+            self.report = validation.observed_report(
+                self.spark, seen, silver.transaction_rules())
+            for line in self.report.collect():
+                log.info("dvf: %s rejects %d, %d are left", line.rule, line.rejected, line.kept)
         elif source == "poi":
             df = silver.silver_poi(self.spark, self._raw_poi(), self.areas(), self.day)
         else:
@@ -126,7 +135,32 @@ class Build:
         for name in GOLD:
             if name in tables:
                 with scratch_scope(self.spark):
-                    create_or_replace(self._gold(name), table_path(self.root, "gold", name))
+                    path = table_path(self.root, "gold", name)
+                    if name in (FACTS, TIMELINE):
+                        replace_parts(self._gold(name), path, refresh.YEAR)
+                    else:
+                        create_or_replace(self._gold(name), path)
+
+    def refresh(self, after: str) -> list[int]:
+        """Bring facts and timeline up to the sales that landed later than the day ``after``.
+
+        Only the raw files of the sale years that landed since are read, and only these years of
+        the facts, and the years of the timeline they reach, are replaced. The result is that of
+        a full build, as long as the areas are the same. Silver is not written, as its medians
+        are over all years. Returns the years; without any nothing is done.
+        """
+        raw_path = table_path(self.root, "raw", "dvf")
+        years = refresh.landed_years(self.spark, raw_path, after, self.day)
+        if years:
+            facts, series = (table_path(self.root, "gold", n) for n in (FACTS, TIMELINE))
+            raw = read_table(self.spark, raw_path) if self.all_snapshots else read_latest(
+                self.spark, raw_path, "annee")
+            with scratch_scope(self.spark):
+                sales = silver.located_transactions(
+                    raw.filter(F.col("annee").isin(years)).drop(INGESTION, "annee"), self.areas())
+                refresh.refresh_facts(sales, facts, years)
+                refresh.refresh_timeline(self.spark, facts, series, years)
+        return years
 
     def _gold(self, name: str) -> DataFrame:
         spark, read = self.spark, lambda source: self.latest("silver", source).drop(INGESTION)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.constants import (
@@ -58,22 +58,29 @@ def year_month_parts(df: DataFrame, date: str) -> DataFrame:
     return df.withColumns({"year": F.year(date).cast("long"), "month": F.month(date).cast("long")})
 
 
-def located_transactions(raw: DataFrame, areas: DataFrame) -> DataFrame:
-    """Valid sales with unit price, area code, year and month: one pass without a shuffle."""
-    valid = V.keep_valid(typed_transactions(raw), transaction_rules()).withColumn(
+def located_transactions(raw: DataFrame, areas: DataFrame, seen: Observation | None = None
+                         ) -> DataFrame:
+    """Valid sales with unit price, area code, year and month: one pass without a shuffle.
+
+    With ``seen``, the first action also counts what each rule rejects, in the same pass.
+    """
+    typed, rules = typed_transactions(raw), transaction_rules()
+    kept = V.keep_valid(typed, rules) if seen is None else V.keep_valid_observed(typed, rules, seen)
+    valid = kept.withColumn(
         "prix_m2", unit_price(F.col("valeur_fonciere"), F.col("surface_reelle_bati")))
     placed = spatial_join(valid, areas, "longitude", "latitude")
     return year_month_parts(placed.filter(F.col("code_arrondissement").isNotNull()),
                             "date_mutation")
 
 
-def silver_transactions(raw: DataFrame, areas: DataFrame) -> DataFrame:
+def silver_transactions(raw: DataFrame, areas: DataFrame, seen: Observation | None = None
+                        ) -> DataFrame:
     """Valid, located sales with the area median, the month's price rank and the price step.
 
     The located sales are written once. Medians, steps and ranks are worked out from the columns
     they need alone, ranks from the rows of the steps, so all columns are joined once.
     """
-    sales = stage(located_transactions(raw, areas), "located-sales")
+    sales = stage(located_transactions(raw, areas, seen), "located-sales")
     medians = group_medians(sales, ["code_arrondissement"], "prix_m2", "prix_m2_median_arr")
     order = [c for c in SALE_ORDER if c in sales.columns]
     keys = ["code_arrondissement", "year"]

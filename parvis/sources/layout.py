@@ -55,7 +55,7 @@ def create_or_replace(df: DataFrame, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A written table in its last state; the ingestion date is text, as it was written."""
-    df = spark.read.parquet(versions.current(spark, path) or path)
+    df = spark.read.parquet(*versions.current(spark, path) or [path])
     return df.withColumn(INGESTION, F.col(INGESTION).cast("string")) \
         if INGESTION in df.columns else df
 
