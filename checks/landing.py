@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.registry import query
-from checks.standin import REGISTRY, table
+from checks.standin import REGISTRY, poi, table
 from parvis.constants import AREA_CODES
 from parvis.plans.gold import dwellings_table, population_table
-from parvis.sources import layout, quoted, readers
-from parvis.staging import new_scratch_path
+from parvis.sources import layout, quoted, readers, schemas
+from parvis.staging import new_scratch_path, stage
 
 # Sales as gzipped CSV ------------------------------------------------------------------
 
@@ -234,6 +234,40 @@ def _snapshots(spark, sf):
     return path
 
 
+@query("stamp_ingestion_date", """
+    SELECT o_orderkey, o_orderstatus, '2024-05-03' AS ingestion_date FROM orders""")
+def stamp_ingestion_date(spark, sf):
+    """A day written twice with other rows holds the last ones, under its stamp."""
+    path = new_scratch_path(spark, "stamped")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    layout.write_snapshot(orders.withColumn("o_orderstatus", F.lit("old")), path, "2024-05-03")
+    layout.write_snapshot(orders, path, "2024-05-03")
+    return layout.read_table(spark, path)
+
+
+@query("empty_placeholder", """
+    SELECT code_arrondissement, count(*) AS nb_poi FROM poi GROUP BY 1""")
+def empty_placeholder(spark, sf):
+    """A source that was not landed is a typed table without rows beside the landed ones."""
+    landed = poi(spark, sf)
+    path = new_scratch_path(spark, "absent")
+    layout.create_or_replace(schemas.empty(spark, landed.schema), path)
+    return landed.unionByName(layout.read_table(spark, path)).groupBy(
+        "code_arrondissement").agg(F.count("*").alias("nb_poi"))
+
+
+@query("cache_silver", """
+    SELECT code_arrondissement, category, count(*) AS nb_poi, min(lon) AS west, max(lon) AS east
+    FROM poi GROUP BY 1, 2""")
+def cache_silver(spark, sf):
+    """Two results of one staged table, which is computed once."""
+    points = stage(poi(spark, sf), "silver_poi")
+    by = ["code_arrondissement", "category"]
+    sizes = points.groupBy(*by).agg(F.count("*").alias("nb_poi"))
+    return sizes.join(points.groupBy(*by).agg(
+        F.min("lon").alias("west"), F.max("lon").alias("east")), by)
+
+
 @query("scan_latest_snapshot", f"""
     SELECT o_orderkey, o_orderstatus, {_DAYS} AS ingestion_date FROM orders
     WHERE o_orderkey % 3 = 2""")

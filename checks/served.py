@@ -10,9 +10,10 @@ from checks import standin as S
 from checks.cleaning import TIMELINE_OUT, TIMELINE_ROUNDED
 from checks.registry import query, rnd_sql, rounded
 from checks.standin import KPI_OUT, KPI_ROUNDED, table
-from parvis.constants import CATEGORIES, INDICATORS
+from parvis.constants import CATEGORIES, FEATURE_BOX, INDICATORS
 from parvis.operators import paging as P
 from parvis.plans import gold, quality, serving
+from parvis.sources import layout
 from parvis.staging import new_scratch_path, stage
 
 # Sorting and paging --------------------------------------------------------------------
@@ -115,6 +116,50 @@ def to_geojson_points(spark, sf):
         "f.properties.category", "f.properties.subcategory", "f.properties.name")
 
 
+@query("feature_collection", """
+    SELECT lon, lat, code_arrondissement AS code, category, subcategory, name, NULL AS document
+    FROM poi UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'FeatureCollection'""")
+def feature_collection(spark, sf):
+    """A document's lines read back: all its features, and one row for what encloses them."""
+    path = new_scratch_path(spark, "document")
+    serving.write_feature_collection(
+        serving.to_geojson_points(gold.poi_table(S.poi(spark, sf))), path)
+    lines = spark.read.text(path)
+    ends = lines.agg(F.concat(
+        F.max(F.when(F.col("value").endswith("["), F.col("value"))),
+        F.max(F.when(F.col("value") == "]}", F.col("value")))).alias("document"))
+    read = "struct<geometry: struct<coordinates: array<double>>, properties: struct<" \
+           "code_arrondissement: string, category: string, subcategory: string, name: string>>"
+    features = lines.filter(~F.col("value").endswith("[") & (F.col("value") != "]}")).select(
+        F.from_json(F.ltrim("value", F.lit(",")), read).alias("f")).selectExpr(
+        "f.geometry.coordinates[0] AS lon", "f.geometry.coordinates[1] AS lat",
+        "f.properties.code_arrondissement AS code", "f.properties.category",
+        "f.properties.subcategory", "f.properties.name")
+    return features.unionByName(ends.select(
+        F.get_json_object("document", "$.type").alias("document")), allowMissingColumns=True)
+
+
+@query("box_features", f"""
+    SELECT code_arrondissement AS code, label,
+        {rnd_sql(f'centroid_lon - {FEATURE_BOX[0]}e0', 6)} AS west,
+        {rnd_sql(f'centroid_lon + {FEATURE_BOX[0]}e0', 6)} AS east,
+        {rnd_sql(f'centroid_lat - {FEATURE_BOX[1]}e0', 6)} AS south,
+        {rnd_sql(f'centroid_lat + {FEATURE_BOX[1]}e0', 6)} AS north
+    FROM kpi WHERE centroid_lon IS NOT NULL AND centroid_lat IS NOT NULL""")
+def box_features(spark, sf):
+    """Areas drawn as boxes, as where no polygons were landed."""
+    kpi = stage(S.kpi(spark, sf), "kpi")
+    features = serving.to_geojson_areas(serving.enrich_features(serving.box_features(kpi), kpi))
+    corner = lambda place, axis: F.get_json_object(
+        "feature", f"$.geometry.coordinates[0][{place}][{axis}]").cast("double")
+    return rounded(features.select(
+        F.get_json_object("feature", "$.properties.code_arrondissement").alias("code"),
+        F.get_json_object("feature", "$.properties.label").alias("label"),
+        corner(0, 0).alias("west"), corner(2, 0).alias("east"),
+        corner(0, 1).alias("south"), corner(2, 1).alias("north")),
+        6, "west", "east", "south", "north")
+
+
 @query("enrich_features", f"""
     SELECT CAST(ord AS BIGINT) AS ord, code, {rnd_sql('prix_m2', 6)} AS prix_m2, transactions_an,
         kpi.label AS label FROM boxes LEFT JOIN kpi ON code = code_arrondissement""")
@@ -225,6 +270,24 @@ def merge_fingerprints(spark, sf):
     return quality.merge_fingerprints(reduce(lambda a, b: a.unionByName(b), parts))
 
 
+_BY_STATUS = ["o_orderkey", "o_custkey", "o_orderstatus"]
+
+
+@query("run_manifest", f"""
+    SELECT 'silver' AS layer, 'orders' AS source, count(DISTINCT o_orderstatus) AS n_files,
+        count(*) AS n_rows, CAST(sum({_digest_sql(_BY_STATUS)}) AS VARCHAR) AS digest FROM orders
+    UNION ALL SELECT 'gold', 'counts', 1, count(*), CAST(sum({_digest_sql(
+        ['code_arrondissement', 'category', 'subcategory', 'nb_poi'])}) AS VARCHAR) FROM counts""")
+def run_manifest(spark, sf):
+    """Two written layers: one partitioned with a file a status, one replaced by a commit."""
+    root = new_scratch_path(spark, "run")
+    orders = table(spark, sf, "orders").select(*_BY_STATUS).repartition("o_orderstatus")
+    layout.write_partitioned(orders, layout.table_path(root, "silver", "orders"), "o_orderstatus")
+    layout.create_or_replace(
+        S.counts(spark, sf).coalesce(1), layout.table_path(root, "gold", "counts"))
+    return quality.run_manifest(spark, root)
+
+
 _CHECKED = {
     "kpi": {
         "area_count": "abs(sign(count(*) - 20))",

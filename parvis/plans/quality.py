@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parvis.constants import AREA_CODES, AREA_PREFIX, CATEGORIES, INDICATORS
+from parvis.sources import layout
 
 AREA = "code_arrondissement"
 HEX_DIGITS = 15
@@ -47,6 +50,32 @@ def merge_fingerprints(parts: DataFrame) -> DataFrame:
         F.sum(F.col("digest").cast("decimal(38,0)")).cast("string").alias("digest"))
 
 
+def table_manifest(df: DataFrame, layer: str, source: str) -> DataFrame:
+    """(layer, source, n_files, n_rows, digest) of a file-backed table, from one scan.
+
+    Files are counted by their rows, so an empty file is not counted.
+    """
+    per_file = df.select(
+        F.col("_metadata.file_path").alias("file"),
+        row_digest(df).cast("decimal(38,0)").alias("digest")).groupBy("file").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("digest").alias("digest"))
+    return per_file.agg(
+        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("digest").cast("string"), F.lit("0")).alias("digest")).select(
+            F.lit(layer).alias("layer"), F.lit(source).alias("source"), "n_files", "n_rows", "digest")
+
+
+def run_manifest(spark: SparkSession, root: str, layers: tuple[str, ...] = layout.LAYERS
+                 ) -> DataFrame:
+    """:func:`table_manifest` of every table under ``root``: what a run has left behind."""
+    found = [table_manifest(df, layer, source)
+             for layer, source, df in layout.tables(spark, root, layers)]
+    if not found:
+        return spark.createDataFrame(
+            [], "layer string, source string, n_files long, n_rows long, digest string")
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 def _listed(one_row: DataFrame, names: list[str]) -> DataFrame:
     return one_row.unpivot([], names, "check", "failures")
 

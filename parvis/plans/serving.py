@@ -10,6 +10,8 @@ from parvis.constants import COMPARED, FEATURE_BOX, INDICATORS, SORT_KEYS
 from parvis.functions.codes import SERVING_PRECEDENCE, resolve_area_code
 from parvis.functions.geometry import box_parts
 from parvis.operators import paging as P
+from parvis.sources.schemas import inline
+from parvis.staging import stage
 
 AREA = "code_arrondissement"
 TIMELINE_ORDER = [AREA, "year", "month"]
@@ -137,6 +139,23 @@ def to_geojson_areas(enriched: DataFrame) -> DataFrame:
         F.lit("}}")).alias("feature"))
 
 
+def write_feature_collection(features: DataFrame, path: str, *order: str) -> None:
+    """Write ``feature`` lines as one GeoJSON document: the files of ``path``, by name, in a row.
+
+    Lines are sorted and written by all partitions, so no task holds the collection. Null features
+    are left out; without features the collection is empty. Rows that tie in ``order`` go by text.
+    """
+    spark = features.sparkSession
+    lines = stage(features.filter(F.col("feature").isNotNull()).orderBy(*order, "feature").select(
+        F.monotonically_increasing_id().alias("place"), "feature"), "features")
+    first = lines.select(F.min("place")).scalar()
+    comma = F.when(F.col("place") > first, F.lit(",")).otherwise(F.lit(""))
+    ends = inline(spark, "place long, value string", [
+        (-1, '{"type":"FeatureCollection","features":['), (2**63 - 1, "]}")])
+    lines.select("place", F.concat(comma, "feature").alias("value")).unionByName(ends).orderBy(
+        "place").select("value").write.text(path)
+
+
 def box_features(kpi: DataFrame) -> DataFrame:
     """Boxes around the area centroids, where no polygons were landed."""
     lon, lat = F.col("centroid_lon"), F.col("centroid_lat")

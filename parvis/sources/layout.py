@@ -7,6 +7,7 @@ names belong to the facts, and a partition column of the same name would replace
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
@@ -93,16 +94,23 @@ def read_latest(spark: SparkSession, path: str, *within: str, stamp: str = INGES
     return df.filter(wanted)
 
 
-def inventory(spark: SparkSession, root: str, layers: tuple[str, ...] = ("raw", "silver", "gold")
-              ) -> DataFrame:
-    """(layer, source, n_files, n_rows) of every table under ``root``."""
-    found = []
+LAYERS = ("raw", "silver", "gold")
+
+
+def tables(spark: SparkSession, root: str, layers: tuple[str, ...] = LAYERS
+           ) -> Iterator[tuple[str, str, DataFrame]]:
+    """``(layer, source, table)`` of every table under ``root``."""
     for layer in layers:
         fs, pattern = hadoop_path(spark, f"{root.rstrip('/')}/{layer}/*")
         for status in fs.globStatus(pattern) or []:
             name = status.getPath().getName()
-            found.append(partition_inventory(read_table(spark, table_path(root, layer, name)), name)
-                         .select(F.lit(layer).alias("layer"), "*"))
+            yield layer, name, read_table(spark, table_path(root, layer, name))
+
+
+def inventory(spark: SparkSession, root: str, layers: tuple[str, ...] = LAYERS) -> DataFrame:
+    """(layer, source, n_files, n_rows) of every table under ``root``."""
+    found = [partition_inventory(df, name).select(F.lit(layer).alias("layer"), "*")
+             for layer, name, df in tables(spark, root, layers)]
     if not found:
         return spark.createDataFrame([], "layer string, source string, n_files long, n_rows long")
     return reduce(lambda a, b: a.unionByName(b), found)
