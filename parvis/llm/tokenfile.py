@@ -1,10 +1,11 @@
 """A file format for token ids: one concatenated array, document boundaries in Elias-Fano form.
 
 The file is a Parquet table of blocks, written and read by Spark, so it may lie in any store.
-A block holds consecutive documents: their ids as packed unsigned 16-bit numbers, and the
-offsets of their ends as an Elias-Fano sequence: the low bits of each offset packed, the
-high bits in unary, and the place of every ``SAMPLE``-th one-bit so that one offset is found
-without reading the others. Shards follow the order of the document ids, blocks that of a shard.
+A block holds consecutive documents: their ids as packed unsigned 16-bit numbers, and two
+Elias-Fano sequences, the offsets of their ends and, as they ascend, the document ids less the
+first one. Such a sequence has the low bits of each value packed, the high bits in unary, and the
+place of every ``SAMPLE``-th one-bit, so that a value or a run of them is found without reading
+the others. Shards follow the order of the document ids, blocks that of a shard.
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ from parvis.llm.tables import id_text
 END_ID = 0
 BLOCK_IDS = 1 << 20  # a block is closed beyond that; one longer document is a block of its own
 SAMPLE = 64
-BLOCKS = ("shard int, block int, ids_before long, n_ids long, doc_ids array<long>, low_bits int, "
-          "low binary, high binary, samples binary, ids binary")
+READ_TOGETHER = 512
+ID_SPAN = 1 << 62  # of the document ids of a block
+BLOCKS = ("shard int, block int, ids_before long, n_ids long, n_docs int, n_without_id int, "
+          "first_id long, last_id long, id_bits int, id_low binary, id_high binary, "
+          "id_samples binary, low_bits int, low binary, high binary, samples binary, ids binary")
+DOCUMENTS = "doc_id long, shard int, start_in_shard long, n_tokens long, ids binary"
 
 
 class EliasFano:
@@ -72,41 +77,71 @@ class EliasFano:
         one = (at << 3) + (byte & -byte).bit_length() - 1
         return (one - i << self.low_bits) + int(self._low(np.array([i]))[0])
 
+    def between(self, start: int, stop: int) -> np.ndarray:
+        """The values from ``start`` to ``stop``, reading from the sample before to the one after."""
+        if start >= stop:
+            return np.zeros(0, np.int64)
+        place, after = int(self.samples[start // SAMPLE]), (stop - 1) // SAMPLE + 1
+        last = (int(self.samples[after]) >> 3) + 1 if after < len(self.samples) else len(self.high)
+        bits = np.unpackbits(np.frombuffer(self.high, np.uint8)[place >> 3:last], bitorder="little")
+        ones = np.flatnonzero(bits) + (place >> 3 << 3)
+        skip = int(np.searchsorted(ones, place)) + start % SAMPLE
+        at = np.arange(start, stop)
+        return (ones[skip:skip + stop - start] - at << self.low_bits) + self._low(at)
+
     def values(self) -> np.ndarray:
         """All values at once."""
-        bits = np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little")
-        at = np.arange(self.count)
-        return (np.flatnonzero(bits)[:self.count] - at << self.low_bits) + self._low(at)
+        return self.between(0, self.count)
+
+    def first_at_least(self, value: int) -> int:
+        """How many values are below ``value``, by bisection with ``select``."""
+        low, high = 0, self.count
+        while low < high:
+            middle = (low + high) // 2
+            if self.select(middle) < value:
+                low = middle + 1
+            else:
+                high = middle
+        return low
 
 
 def _blocks(tokenizer: str | None):
-    names = [c.split()[0] for c in BLOCKS.split(", ")]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(),
-             pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    schema = pa.schema([(c.split()[0], {"int": pa.int32(), "long": pa.int64()}.get(
+        c.split()[1], pa.binary())) for c in BLOCKS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column_ids, shard = encoder(tokenizer).column_ids, TaskContext.get().partitionId()
-        block, before, size, doc_ids, arrays = 0, 0, 0, [], []
+        block, before, size, nulls, doc_ids, arrays = 0, 0, 0, 0, [], []
 
         def done() -> pa.RecordBatch:
+            nonlocal block, before, size, nulls
+            first, last = (doc_ids[0], doc_ids[-1]) if doc_ids else (None, None)
+            of = EliasFano.of(np.array([i - first for i in doc_ids], np.int64))
             ends = EliasFano.of(np.cumsum([len(a) for a in arrays]))
-            row = (shard, block, before, size, doc_ids, ends.low_bits, ends.low, ends.high,
+            row = (shard, block, before, size, len(arrays), nulls, first, last, of.low_bits, of.low,
+                   of.high, of.samples.tobytes(), ends.low_bits, ends.low, ends.high,
                    ends.samples.tobytes(), np.concatenate(arrays).astype("<u2").tobytes())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=names)
+            block, before, size, nulls = block + 1, before + size, 0, 0
+            doc_ids.clear()
+            arrays.clear()
+            return pa.RecordBatch.from_pydict(
+                {n: [v] for n, v in zip(schema.names, row, strict=True)}, schema)
 
         for batch in batches:
             own = batch.column(0).to_pylist()
             for i, j, every, offsets in column_ids(batch.column(1), END_ID):
                 for k in range(i, j):
-                    doc_ids.append(own[k])
+                    if doc_ids and own[k] - doc_ids[0] >= ID_SPAN:
+                        yield done()
+                    if own[k] is None:
+                        nulls += 1
+                    else:
+                        doc_ids.append(own[k])
                     arrays.append(every[offsets[k - i]:offsets[k - i + 1]])
                     size += len(arrays[-1])
                     if size >= BLOCK_IDS:
                         yield done()
-                        block, before = block + 1, before + size
-                        size, doc_ids, arrays = 0, [], []
-        if doc_ids:
+        if arrays:
             yield done()
     return run
 
@@ -125,59 +160,80 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str | None = None,
      .write.parquet(path))
 
 
+class _Block:
+    """A row of the file: which document is where, read from its two sequences."""
+
+    def __init__(self, row: dict) -> None:
+        self.row, self.nulls = row, row["n_without_id"]
+        self.doc_ids = EliasFano(row["n_docs"] - self.nulls, row["id_bits"], row["id_low"],
+                                 row["id_high"], row["id_samples"])
+        self.ends = EliasFano(row["n_docs"], row["low_bits"], row["low"], row["high"], row["samples"])
+        self.ids = np.frombuffer(row["ids"], "<u2")
+
+    def places(self, doc_id: int) -> tuple[int, int]:
+        """From where to where the rows of ``doc_id`` lie in the block."""
+        if self.row["first_id"] is None or not self.row["first_id"] <= doc_id <= self.row["last_id"]:
+            return 0, 0
+        value = doc_id - self.row["first_id"]
+        return tuple(self.nulls + self.doc_ids.first_at_least(v) for v in (value, value + 1))
+
+    def documents(self, start: int, stop: int) -> pa.RecordBatch:
+        before = self.ends.select(start - 1) if start else 0
+        ends = self.ends.between(start, stop)
+        starts = np.concatenate([[before], ends[:-1]])
+        own: list[int | None] = [None] * max(0, min(stop, self.nulls) - start)
+        own += [self.row["first_id"] + i for i in self.doc_ids.between(
+            max(start - self.nulls, 0), max(stop - self.nulls, 0)).tolist()]
+        wide = self.ids[before:int(ends[-1])].astype("<u4")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own, pa.int64()), pa.array(np.full(stop - start, self.row["shard"], np.int32)),
+             pa.array(self.row["ids_before"] + starts), pa.array(ends - starts),
+             pa.array([wide[s:e].tobytes() for s, e in zip(
+                 (starts - before).tolist(), (ends - before).tolist(), strict=True)], pa.binary())],
+            names=[c.split()[0] for c in DOCUMENTS.split(", ")])
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ends = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"],
-                             row["samples"]).values()
-            ids = np.frombuffer(row["ids"], "<u2").astype("<u4")
-            starts = np.concatenate([[0], ends[:-1]])
-            for a in range(0, len(ends), 512):
-                part = slice(a, a + 512)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"][part], pa.int64()),
-                     pa.array(np.full(len(starts[part]), row["shard"], np.int32)),
-                     pa.array(row["ids_before"] + starts[part]),
-                     pa.array((ends - starts)[part]),
-                     pa.array([ids[s:e].tobytes() for s, e in zip(
-                         starts[part].tolist(), ends[part].tolist(), strict=True)], pa.binary())],
-                    names=["doc_id", "shard", "start_in_shard", "n_tokens", "ids"])
+            block = _Block(row)
+            for a in range(0, row["n_docs"], READ_TOGETHER):
+                yield block.documents(a, min(a + READ_TOGETHER, row["n_docs"]))
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, shard, start_in_shard, n_tokens, ids)``: ids as little-endian 32-bit numbers."""
-    return spark.read.schema(BLOCKS).parquet(path).mapInArrow(
-        _documents, "doc_id long, shard int, start_in_shard long, n_tokens long, ids binary")
+    """``(doc_id, shard, start_in_shard, n_tokens, ids)``: ids as little-endian 32-bit numbers.
 
+    Documents are read in runs; select on the samples finds where a run begins.
+    """
+    return spark.read.schema(BLOCKS).parquet(path).mapInArrow(_documents, DOCUMENTS)
 
-def _chosen(doc_ids: frozenset[int]):
-    names = ["doc_id", "shard", "start_in_shard", "n_tokens", "ids"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
+def _chosen(doc_ids: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ends = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"],
-                                 row["samples"])
-                ids = np.frombuffer(row["ids"], "<u2")
-                for i, own in enumerate(row["doc_ids"]):
-                    if own in doc_ids:
-                        a, b = ends.select(i - 1) if i else 0, ends.select(i)
-                        value = (own, row["shard"], row["ids_before"] + a, b - a,
-                                 ids[a:b].astype("<u4").tobytes())
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([v], t) for v, t in zip(value, kinds, strict=True)],
-                            names=names)
+                block = _Block(row)
+                for doc_id in doc_ids:
+                    start, stop = block.places(doc_id)
+                    for a in range(start, stop, READ_TOGETHER):
+                        yield block.documents(a, min(a + READ_TOGETHER, stop))
     return run
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """The rows of :func:`read_token_file` for a few ids; no other offsets are decoded."""
-    wanted = F.array(*[F.lit(i).cast("long") for i in doc_ids]).cast("array<long>")
-    blocks = spark.read.schema(BLOCKS).parquet(path).where(F.arrays_overlap("doc_ids", wanted))
-    return blocks.mapInArrow(
-        _chosen(frozenset(doc_ids)),
-        "doc_id long, shard int, start_in_shard long, n_tokens long, ids binary")
+    """The rows of :func:`read_token_file` for a few ids, found by select in the blocks around them.
+
+    A repeated wish gives its rows once, an id that no row has gives none.
+    """
+    wanted = sorted(set(doc_ids))
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+    if not wanted:
+        return blocks.where("false").mapInArrow(_documents, DOCUMENTS)
+    inside = F.exists(F.array(*[F.lit(i).cast("long") for i in wanted]),
+                      lambda i: (i >= F.col("first_id")) & (i <= F.col("last_id")))
+    near = (F.col("last_id") >= wanted[0]) & (F.col("first_id") <= wanted[-1])
+    return blocks.where(near & inside).mapInArrow(_chosen(wanted), DOCUMENTS)
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:
