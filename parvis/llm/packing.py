@@ -182,8 +182,10 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), id_col: str =
                   tokens_col: str = "tokens", loss_col: str = "loss_tokens") -> DataFrame:
     """Instruction examples, kept whole, packed under all three limits.
 
-    One row per example. Null counts are 0, and an example without tokens is no piece: its
-    sequence and offset are null. An example above a limit raises an error.
+    One row per example. ``WINDOW`` examples of a partition are packed together, by id and size,
+    however the rows come in batches. Null counts are 0, and an example without tokens is no piece:
+    its sequence and offset are null. Repeated ids are examples of their own, rows without an id come
+    first. An example above a limit raises an error. Other columns are not looked at.
     """
     rows = examples.select(
         F.col(id_col).cast("long").alias("example_id"),
@@ -192,20 +194,30 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         following = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            ids, tokens, loss = (batch.column(k).to_pylist() for k in range(3))
-            order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0))
-            out = [(ids[i], None, None) for i in order if not tokens[i]]
-            sizes = [np.array([c[i] for i in order], int) for c in (tokens, loss)]
+        waiting: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal following
+            waiting.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+            out = [(doc_id, None, None) for doc_id, tokens, _ in waiting if not tokens]
+            sizes = [np.array([r[k] for r in waiting], int) for k in (1, 2)]
             for sequence in pack_vectors(*sizes, limits, cut=False):
                 offset = 0
                 for item, _, length, _ in sequence:
-                    out.append((ids[order[item]], following, offset))
+                    out.append((waiting[item][0], following, offset))
                     offset += length
                 following += 1
-            columns = zip(*out, strict=True) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns],
+            waiting.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*out, strict=True)],
                 names=["example_id", "sequence_id", "offset"])
 
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                waiting.append(row)
+                if len(waiting) >= WINDOW:
+                    yield flush()
+        if waiting:
+            yield flush()
+
     return rows.mapInArrow(run, EXAMPLES)
