@@ -134,19 +134,24 @@ def income_fan_out(spark, sf):
 
 # Air -----------------------------------------------------------------------------------
 
+_MEASURES_A_FILE = 100_000
 
 @query("read_air_json", """
     SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS date_heure, CAST(user_id AS VARCHAR) AS no2,
         NULL::VARCHAR AS o3, event_type AS pm10, NULL::VARCHAR AS pm25
     FROM events""")
 def read_air_json(spark, sf):
-    """One file per day, each a JSON array."""
+    """Files of one day each, a JSON array in each; a day of many measures has several."""
     path = new_scratch_path(spark, "landed-air")
-    table(spark, sf, "events").select(
-        F.to_date("ts").alias("day"),
+    measures = table(spark, sf, "events").select(
+        F.to_date("ts").alias("day"), F.monotonically_increasing_id().alias("n"),
         F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("date_heure"),
-                 F.col("user_id").alias("no2"), F.col("event_type").alias("pm10")).alias("m")
-    ).groupBy("day").agg(F.to_json(F.collect_list("m")).alias("value")).select("value").write \
+                 F.col("user_id").alias("no2"), F.col("event_type").alias("pm10")).alias("m"))
+    days = stage(table(spark, sf, "events").groupBy(F.to_date("ts").alias("of")).agg(
+        F.ceil(F.count("*") / _MEASURES_A_FILE).alias("files")), "days")
+    measures.join(days, F.expr("day <=> of")).groupBy(
+        "day", F.expr("pmod(xxhash64(n), files) AS file")
+    ).agg(F.to_json(F.collect_list("m")).alias("value")).select("value").write \
         .option("maxRecordsPerFile", 1).text(path)
     return readers.read_air(spark, path)
 

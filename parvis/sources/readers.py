@@ -18,6 +18,7 @@ from parvis.functions.casts import lenient, null_out
 from parvis.functions.geometry import PARTS_TYPE, box_parts
 from parvis.operators.rows import column_named, fan_out
 from parvis.sources import schemas
+from parvis.sources.arrays import read_array
 from parvis.sources.quoted import read_csv
 
 
@@ -101,12 +102,12 @@ def read_air(spark: SparkSession, path: str, schema: T.StructType = schemas.AIR,
              lines: bool = False) -> DataFrame:
     """Hourly measures as text from a JSON array; fixed values when there are none.
 
-    An array is read by one task per file; ``lines`` reads one measure per line instead, which
-    Spark can split.
+    Arrays are read in splits (:mod:`parvis.sources.arrays`); ``lines`` reads one measure per
+    line instead, which Spark splits by itself.
 
     ``schema`` names the fields as the file spells them, in whatever letter case.
     """
-    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    df = spark.read.schema(schema).json(path) if lines else read_array(spark, path, schema)
     landed = df.filter(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns]).isNotNull())
     return or_fallback(landed, air_fallback(spark))
 
