@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +19,22 @@ SMALLEST_SIDE = 1e-6
 def _levels(areas: DataFrame) -> tuple[DataFrame, list[int]]:
     """Outlines with the level of their size class, and the levels that occur."""
     side = "greatest(x1 - x0, y1 - y0, " + repr(SMALLEST_SIDE) + "D)"
-    outlines = _outlines(areas).selectExpr(
-        "*", f"cast(floor(log({side}) / log({CLASS_FACTOR!r}D)) as int) as level")
+    outlines = stage(_outlines(areas).selectExpr(
+        "*", f"cast(floor(log({side}) / log({CLASS_FACTOR!r}D)) as int) as level"), "outlines")
     found = outlines.select("level").distinct().orderBy("level").collect()
     return outlines, [row["level"] for row in found]
 
 
 def _outlines(areas: DataFrame) -> DataFrame:
-    """Areas as edges with their bounding box; an area without edges holds no point."""
+    """Areas as edges with their bounding box; an area without edges holds no point.
+
+    Of areas with the same edges only the first can be a point's area; the others go.
+    """
+    spread = areas.sparkSession.sparkContext.defaultParallelism  # testing cells is the work
     return areas.select("ord", "code", parts_edges("parts").alias("edges")).filter(
-        "size(edges) > 0").selectExpr(
+        "size(edges) > 0").repartition(spread, "edges").groupBy(
+        "edges", F.isnull("ord").alias("unordered")).agg(
+        F.min(F.struct("ord", "code")).alias("first")).select("first.*", "edges").selectExpr(
         "ord", "code", "edges",
         "array_min(transform(edges, e -> e.x1)) as x0",
         "array_max(transform(edges, e -> e.x1)) as x1",
@@ -39,12 +43,14 @@ def _outlines(areas: DataFrame) -> DataFrame:
 
 
 def _clip(near: DataFrame, size: float) -> DataFrame:
-    """Rows of (cx, cy, ord, code, edges) with only the edges that can matter to their cell.
+    """Rows of (cx, cy, ord, code, full, edges) with only the edges that can matter to their cell.
 
     Rows whose area doesn't reach the cell go; ``full`` says that the area fills it.
+    The rows are staged before any is dropped, so that each is tested once: a filter on them would
+    move below and work out all its columns again.
     """
     margin = size * 1e-6
-    return near.selectExpr(
+    return stage(near.selectExpr(
         "cx", "cy", "ord", "code", "edges",
         f"cx * {size!r}D - {margin!r}D as west", f"(cx + 1) * {size!r}D + {margin!r}D as east",
         f"cy * {size!r}D - {margin!r}D as south", f"(cy + 1) * {size!r}D + {margin!r}D as north",
@@ -55,11 +61,17 @@ def _clip(near: DataFrame, size: float) -> DataFrame:
     ).selectExpr(
         "*", "exists(edges, e -> least(e.x1, e.x2) <= east) as border",
     ).selectExpr(
-        "cx", "cy", "ord", "code", "edges",
+        "cx", "cy", "ord", "code", "edges", "border",
         "not border and "
         + inside_sql("edges", "((west + east) / 2D)", "((south + north) / 2D)") + " as full",
-        "border",
-    ).filter("border or full")
+    ), "tested").filter("border or full").drop("border")
+
+
+def _before_filled(near: DataFrame) -> DataFrame:
+    """Rows of each cell up to the first area that fills it, found as a sum over all of them."""
+    stops = near.filter("full").groupBy("cx", "cy").agg(F.min("ord").alias("stop"))
+    return near.join(stops, ["cx", "cy"], "left").filter(
+        "stop is null or ord is null or ord <= stop").drop("stop")
 
 
 def _cells(near: DataFrame) -> DataFrame:
@@ -91,7 +103,7 @@ def area_cells(outlines: DataFrame, size: float, most: int = MOST_LISTED
     ).selectExpr(
         "ord", "code", "edges", "cx",
         f"explode(sequence(floor(y0 / {size!r}D), floor(y1 / {size!r}D))) as cy")
-    cells, width = stage(_cells(_clip(near, size)), "area-cells"), size
+    cells, width = stage(_cells(_before_filled(_clip(near, size))), "area-cells"), size
     out = []
     for _ in range(DEPTHS):
         crowded = cells.filter(F.size("candidates") > most)
@@ -104,7 +116,7 @@ def area_cells(outlines: DataFrame, size: float, most: int = MOST_LISTED
         inner = crowded.selectExpr("cx", "cy", "inline(candidates)").selectExpr(
             within.format("cx", CUT), "cy", "ord", "code", "edges").selectExpr(
             "cx", within.format("cy", CUT), "ord", "code", "edges")
-        once = _clip(inner, width).groupBy("cx", "cy", "edges", "full").agg(
+        once = _before_filled(_clip(inner, width)).groupBy("cx", "cy", "edges", "full").agg(
             F.min(F.struct("ord", "code")).alias("first")).select(
             "cx", "cy", "first.*", "full", "edges")
         cells = stage(_cells(once), "area-cells")
@@ -130,23 +142,25 @@ def spatial_join(points: DataFrame, areas: DataFrame, lon: str = "lon", lat: str
     else:
         grids = [(_outlines(areas), size)]
     inside = inside_sql("a.edges", f"`{lon}`", f"`{lat}`")
-    located, hits, n = points, [], 0
-    for outlines, base in grids:
-        deeper = []
-        for cells, width in area_cells(outlines, base):
+    located, n = points, 0
+    for grid, (outlines, base) in enumerate(grids):
+        for depth, (cells, width) in enumerate(area_cells(outlines, base)):
             cells = cells.selectExpr(f"cx as _cx{n}", f"cy as _cy{n}", f"whole as _whole{n}",
                                      f"candidates as _near{n}")
             at = [F.expr(f"if(isnan(`{c}`), null, floor(`{c}` / {width!r}D))") for c in (lon, lat)]
             located = located.withColumns({f"_px{n}": at[0], f"_py{n}": at[1]}).join(
                 cells, F.expr(f"_px{n} = _cx{n} and _py{n} = _cy{n}"), "left").drop(
                 f"_px{n}", f"_py{n}", f"_cx{n}", f"_cy{n}")
-            deeper.append(F.expr(
+            hit = F.expr(
                 f"case when _whole{n} is not null then _whole{n} when _near{n} is not null then "
                 f"get(transform(filter(_near{n}, a -> a.full or {inside}), "
-                "a -> struct(a.ord as ord, a.code as code)), 0) end"))
+                "a -> struct(a.ord as ord, a.code as code)), 0) end")
+            # Worked out before the next join, which would have to shuffle the cell's whole list.
+            own = f"_hit{grid}"
+            located = located.withColumn(own, F.coalesce(own, hit) if depth else hit).drop(
+                f"_whole{n}", f"_near{n}")
             n += 1
-        hits.append(F.coalesce(*deeper))
-    first = reduce(lambda a, b: F.least(a, b), hits) if hits else None
-    found = first["code"] if hits else F.lit(None).cast(areas.schema["code"].dataType)
-    return located.withColumn(code, found).drop(
-        *[f"_{kind}{k}" for k in range(n) for kind in ("whole", "near")])
+        if grid:
+            located = located.withColumn("_hit0", F.least("_hit0", own)).drop(own)
+    found = F.col("_hit0.code") if grids else F.lit(None).cast(areas.schema["code"].dataType)
+    return located.withColumn(code, found).drop("_hit0")

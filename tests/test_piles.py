@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parvis.operators.spatial import MOST_LISTED, _outlines, area_cells, spatial_join
+from parvis.operators.spatial import (MOST_LISTED, _before_filled, _outlines, area_cells,
+                                      spatial_join)
 from test_operators import area_frame, contains
 
 
@@ -54,3 +55,20 @@ def test_outlines_that_meet_in_one_place_stay_right(spark):
     df = spark.createDataFrame(points, "i int, lon double, lat double")
     out = spatial_join(df, area_frame(spark, shapes), size=1.0).collect()
     assert {r.i: r.code_arrondissement for r in out} == expected(shapes, points)
+
+
+def test_areas_alike_are_cut_once_and_none_is_listed_behind_the_first_that_fills(spark):
+    shapes = [square(0.5, 0.5, (k * 7 % 30 + 1) / 64) for k in range(600)]
+    outlines = _outlines(area_frame(spark, shapes))
+    assert sorted(r["ord"] for r in outlines.select("ord").collect()) == list(range(30))
+    rows = [(0, 0, 3, "c3", False, []), (0, 0, 5, "c5", True, []), (0, 0, 9, "c9", True, []),
+            (0, 0, 7, "c7", False, []), (0, 1, 9, "c9", False, []), (0, 1, None, "n", False, [])]
+    near = spark.createDataFrame(rows, "cx long, cy long, ord int, code string, full boolean, "
+                                 "edges array<struct<x1: double, y1: double, x2: double, y2: double>>")
+    kept = {(r["cy"], r["ord"]) for r in _before_filled(near).collect()}
+    assert kept == {(0, 3), (0, 5), (1, 9), (1, None)}
+    rng = random.Random(8)
+    points = [(i, rng.uniform(0, 1), rng.uniform(0, 1)) for i in range(300)]
+    out = spatial_join(spark.createDataFrame(points, "i int, lon double, lat double"),
+                       area_frame(spark, shapes)).collect()
+    assert {r.i: r.code_arrondissement for r in out} == expected(shapes, points)
