@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from parvis.llm import decontaminate, minhash, packing, secrets, toxicity
 from parvis.llm.bitmap import bit_map, in_map
-from parvis.llm.tables import read, ship
+from parvis.llm.tables import bound_batches, read, ship
 from parvis.staging import new_scratch_path, stage as staged
 
 WITHOUT_ID = 1 << 62  # keys of rows without an id begin here, behind all usual ids
@@ -66,6 +66,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     a document, and documents without an id, take no part in learning.
     """
     ship(spark)
+    bound_batches(spark)
     network = toxicity.train_network(docs, read(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, network)
 
@@ -77,6 +78,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Null texts and texts without words are like nothing; of such rows, only repeats go.
     """
     ship(spark)
+    bound_batches(spark)
     gone = minhash.near_duplicates(keyed(docs)).where("not kept")
     return without_repeats(without_keys(docs, gone))
 
@@ -93,6 +95,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with secrets replaced by a mark; null and empty texts stay as they are."""
     ship(spark)
+    bound_batches(spark)
     return secrets.without_secrets(docs)
 
 
@@ -102,6 +105,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row is packed, with its id or null; a null or empty text is its end id alone.
     """
     ship(spark)
+    bound_batches(spark)
     pieces = packing.pack_documents(docs)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")

@@ -26,6 +26,20 @@ def partitions_for(rows: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / each))
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of the session end at ``BATCH_BYTES``, unless it has a bound of its own.
+
+    Spark's own bounds are 10 000 rows and 64 MB. A batch lies in the JVM outside its heap and in the
+    worker, and what comes of it in both again, for each task of an executor.
+    """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, BATCH_BYTES)
+
+
 _shipped: set[str] = set()
 
 
