@@ -169,16 +169,19 @@ def _scorer(tokenizer: str | None, classes: Classes, net: Attention, common: np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in word_slices(batch.column(3)):
-                at = np.minimum(np.searchsorted(common, words.hash), max(len(common) - 1, 0))
-                known = common[at] == words.hash if len(common) else np.zeros(len(at), bool)
+                distinct, _, index = words.distinct
+                at = np.minimum(np.searchsorted(common, distinct), max(len(common) - 1, 0))
+                found = common[at] == distinct if len(common) else np.zeros(len(at), bool)
+                at, known = at[index], found[index]
                 text = np.repeat(np.arange(j - i), np.diff(words.first))
                 n_common = np.bincount(text[known], minlength=j - i)
                 log = np.bincount(text[known], logs[at[known]], j - i)
-                rare, rare_n, left = [], [], ~known
-                for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-                    keys, n = np.unique(words.hash[a:b][left[a:b]], return_counts=True)
-                    rare.append(_signed(keys))
-                    rare_n.append(n.astype(np.int32))
+                pairs, rare_n = np.unique(text[~known] * len(distinct) + index[~known],
+                                          return_counts=True)
+                of, rare = np.divmod(pairs, max(len(distinct), 1))
+                ends = pa.array(np.searchsorted(of, np.arange(j - i + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (
+                    _signed(distinct[rare]), rare_n.astype(np.int32))]
                 ids, first = subword_ids(words, tokenizer)
                 score = np.zeros(j - i)
                 for of, inputs, wanted, mask, place in batches_of(ids, first, classes):
@@ -188,8 +191,7 @@ def _scorer(tokenizer: str | None, classes: Classes, net: Attention, common: np.
                     [batch.column(k).slice(i, j - i) for k in range(3)]
                     + [pa.array(np.diff(words.first) + 1), pa.array(n_common),
                        pa.array(log.astype(np.float64)),
-                       pa.array(score / np.log(10)),
-                       pa.array(rare, pa.list_(pa.int64())), pa.array(rare_n, pa.list_(pa.int32()))],
+                       pa.array(score / np.log(10)), *lists],
                     names=names)
     return run
 

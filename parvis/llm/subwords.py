@@ -9,6 +9,7 @@ encoded, kept by their 64-bit hashes, and the ids of the texts are put together
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -26,6 +27,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _OPENS, _CLOSES = np.zeros(256, bool), np.zeros(256, bool)
 _OPENS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _CLOSES[[0xC2, 0x80, 0x81, 0x9A]] = True
+# Words without any byte of which a white space character may be made.
+_CLEAR = re.compile(rb"[^\x00-\x20\x7F\xC2\xE1\xE2\xE3]+")
 
 
 def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,9 +75,62 @@ class Encoder:
 
         return Tokenizer.from_file(self.path)
 
-    def look_up(self, hashes: np.ndarray, piece: Callable[[int], str]
-                ) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and size in ``flat`` of the ids of distinct pieces; ``piece(i)`` is the i-th."""
+    @cached_property
+    def spaced(self) -> np.ndarray:
+        """Which ids begin with a space, in the letters of byte-level tokenizers."""
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        out = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        out[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        return out
+
+    def _each(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """The sizes and the ids of texts, one by one."""
+        sizes, parts = [], []
+        for a in range(0, len(texts), TOGETHER):
+            for e in self.tokenizer.encode_batch_fast(texts[a:a + TOGETHER],
+                                                      add_special_tokens=False):
+                ids = e.ids
+                sizes.append(len(ids))
+                parts += ids
+        return sizes, parts
+
+    def _spaced_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The sizes and the ids of words with a space before each.
+
+        Clear words are encoded in a row, as the tokenizer splits before each space between them,
+        and parted where ids begin with a space; if that gives other than one part a word, and for
+        other words, each is encoded by itself.
+        """
+        clear = np.array([_CLEAR.fullmatch(w) is not None for w in words], bool)
+        order = np.argsort(~clear, kind="stable")
+        whole = [" " + words[i].decode(errors="replace") for i in order.tolist()]
+        sizes, parts, many = [], [], int(clear.sum())
+        for a in range(0, many, TOGETHER):
+            some = whole[a:min(a + TOGETHER, many)]
+            e, = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids = np.array(e.ids, np.int64)
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) != len(some) or first[0]:
+                size, ids = self._each(some)
+            else:
+                size = np.diff(np.append(first, len(ids)))
+            sizes.append(np.asarray(size, np.int64))
+            parts.append(np.asarray(ids, np.int64))
+        size, ids = self._each(whole[many:])
+        size = np.concatenate([*sizes, np.asarray(size, np.int64)])
+        ids = np.concatenate([*parts, np.asarray(ids, np.int64)])
+        back = np.argsort(order)
+        begin = (np.cumsum(size) - size)[back]
+        size = size[back]
+        ends = np.cumsum(size)
+        return size, ids[np.arange(len(ids)) + np.repeat(begin - ends + size, size)]
+
+    def look_up(self, hashes: np.ndarray, piece: Callable[[int], str | bytes],
+                encode: Callable[[list], tuple] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size in ``flat`` of the ids of distinct pieces; ``piece(i)`` is the i-th.
+
+        ``encode`` gives the sizes and the ids of new pieces.
+        """
         at = np.searchsorted(self.keys, hashes)
         known = np.zeros(len(hashes), bool)
         if len(self.keys):
@@ -83,14 +139,8 @@ class Encoder:
         if len(new):
             if len(self.keys) + len(new) > self.known and len(self.keys):
                 self._forget()
-                return self.look_up(hashes, piece)
-            texts, sizes, parts = [piece(i) for i in new.tolist()], [], []
-            for a in range(0, len(texts), TOGETHER):
-                for e in self.tokenizer.encode_batch_fast(texts[a:a + TOGETHER],
-                                                          add_special_tokens=False):
-                    ids = e.ids
-                    sizes.append(len(ids))
-                    parts += ids
+                return self.look_up(hashes, piece, encode)
+            sizes, parts = (encode or self._each)([piece(i) for i in new.tolist()])
             size = np.array(sizes, np.int64)
             order = np.argsort(hashes[new])
             place = at[new][order]
@@ -135,9 +185,8 @@ class Encoder:
 
         An encoder is used either for words or for columns, as both keep pieces by own hashes.
         """
-        distinct, sample, index = np.unique(words.hash, return_index=True, return_inverse=True)
-        begin, size = self.look_up(
-            distinct, lambda k: " " + words.word(sample[k]).decode(errors="replace"))
+        distinct, sample, index = words.distinct
+        begin, size = self.look_up(distinct, lambda k: words.word(sample[k]), self._spaced_words)
         return self._gather(begin, size, index, words.first, end_id)
 
 

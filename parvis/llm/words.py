@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,11 @@ class Words:
     hash: np.ndarray
     first: np.ndarray  # index of each text's first word; one more entry than texts
 
+    @cached_property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct hashes, a word of each, and which of them each word has."""
+        return np.unique(self.hash, return_index=True, return_inverse=True)
+
     def word(self, i: int) -> bytes:
         return self.data[self.start[i]:self.end[i]].tobytes()
 
