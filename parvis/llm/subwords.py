@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
@@ -20,6 +21,7 @@ from parvis.llm.words import Words, range_hashes, slices, text_bytes
 
 KNOWN = {"texts": 1_000_000, "words": 3_000_000}  # pieces a worker keeps; then it starts anew
 TOGETHER = 2048
+RECENT = 1 << 16  # pieces kept apart at least, so that few are not put among many again and again
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -50,6 +52,34 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, np.searchsorted(start, offsets)
 
 
+@dataclass
+class Pieces:
+    """Where the ids of pieces begin and how many they are, by the pieces' ascending hashes."""
+
+    keys: np.ndarray
+    begin: np.ndarray
+    size: np.ndarray
+
+    @staticmethod
+    def none() -> Pieces:
+        return Pieces(np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32))
+
+    def find(self, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Which hashes are here; ``begin`` and ``size`` are filled in for them."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        here = self.keys[at] == hashes
+        begin[here], size[here] = self.begin[at[here]], self.size[at[here]]
+        return here
+
+    def with_more(self, more: Pieces) -> Pieces:
+        """These and others, none of which is here."""
+        at = np.searchsorted(self.keys, more.keys)
+        return Pieces(np.insert(self.keys, at, more.keys), np.insert(self.begin, at, more.begin),
+                      np.insert(self.size, at, more.size))
+
+
 class Encoder:
     """Ids of texts, exactly as the tokenizer gives them for whole texts."""
 
@@ -65,8 +95,8 @@ class Encoder:
         return Encoder, (self.path, self.known)
 
     def _forget(self) -> None:
-        self.keys, self.begin = np.empty(0, np.uint64), np.empty(0, np.uint32)
-        self.size, self.flat = np.empty(0, np.uint32), np.empty(0, np.uint16)
+        self.old, self.recent = Pieces.none(), Pieces.none()
+        self.flat, self.used = np.empty(65536, np.uint16), 0
 
     @cached_property
     def tokenizer(self):
@@ -131,26 +161,29 @@ class Encoder:
 
         ``encode`` gives the sizes and the ids of new pieces.
         """
-        at = np.searchsorted(self.keys, hashes)
-        known = np.zeros(len(hashes), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(at, len(self.keys) - 1)] == hashes
+        begin, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        known = self.old.find(hashes, begin, size) | self.recent.find(hashes, begin, size)
         new = np.flatnonzero(~known)
         if len(new):
-            if len(self.keys) + len(new) > self.known and len(self.keys):
+            many = len(self.old.keys) + len(self.recent.keys)
+            if many + len(new) > self.known and many:
                 self._forget()
                 return self.look_up(hashes, piece, encode)
             sizes, parts = (encode or self._each)([piece(i) for i in new.tolist()])
-            size = np.array(sizes, np.int64)
-            order = np.argsort(hashes[new])
-            place = at[new][order]
-            begin = len(self.flat) + np.cumsum(size) - size
-            self.keys = np.insert(self.keys, place, hashes[new][order])
-            self.begin = np.insert(self.begin, place, begin[order].astype(np.uint32))
-            self.size = np.insert(self.size, place, size[order].astype(np.uint32))
-            self.flat = np.concatenate([self.flat, np.array(parts, np.uint16)])
-            at = np.searchsorted(self.keys, hashes)
-        return self.begin[at].astype(np.int64), self.size[at].astype(np.int64)
+            size[new] = sizes
+            begin[new] = self.used + np.cumsum(size[new]) - size[new]
+            if self.used + len(parts) > len(self.flat):
+                wider = np.empty((self.used + len(parts)) * 3 // 2, np.uint16)
+                wider[:self.used] = self.flat[:self.used]
+                self.flat = wider
+            self.flat[self.used:self.used + len(parts)] = parts
+            self.used += len(parts)
+            order = new[np.argsort(hashes[new])]
+            self.recent = self.recent.with_more(Pieces(
+                hashes[order], begin[order].astype(np.uint32), size[order].astype(np.uint32)))
+            if len(self.recent.keys) > max(RECENT, len(self.old.keys) // 8):
+                self.old, self.recent = self.old.with_more(self.recent), Pieces.none()
+        return begin, size
 
     def _gather(self, begin: np.ndarray, size: np.ndarray, index: np.ndarray,
                 first: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from parvis.llm import subwords
 from parvis.llm.subwords import Encoder
 from parvis.llm.words import word_slices
 
@@ -53,3 +54,24 @@ def test_new_words_go_together():
     text = " ".join(f"w{np.base_repr(k, 36)}é" for k in range(5000))
     ids_of(encoder, [text])
     assert counting.texts <= 10  # 5000 before
+
+
+def test_pieces_known_are_not_copied_for_a_few_new_ones(monkeypatch):
+    monkeypatch.setattr(subwords, "RECENT", 100)
+    copied, more = [], subwords.Pieces.with_more
+    monkeypatch.setattr(subwords.Pieces, "with_more", lambda self, other: copied.append(
+        len(self.keys) + len(other.keys)) or more(self, other))
+    encoder, fresh = Encoder(), Encoder()
+    texts = [" ".join(f"w{k + n}" for k in range(0, 2000, 7)) for n in range(40)]
+    got = [ids_of(encoder, [t])[0] for t in texts]
+    assert got == ids_of(fresh, texts)
+    many = len(encoder.old.keys) + len(encoder.recent.keys)
+    assert many == len({w for t in texts for w in t.split()})
+    assert sum(copied) < 15 * many  # 20 times if all are put anew for each text
+
+
+def test_an_encoder_that_forgets_gives_the_same_ids():
+    texts = [" ".join(f"w{k * n}" for k in range(200)) for n in range(1, 30)]
+    small = Encoder(known=500)
+    assert [ids_of(small, [t])[0] for t in texts] == ids_of(Encoder(), texts)
+    assert len(small.old.keys) + len(small.recent.keys) <= 500
